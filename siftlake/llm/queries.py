@@ -2,7 +2,17 @@
 
 from __future__ import annotations
 
-from siftlake.llm import p3
+from siftlake.llm import p3, p7, p9
 
-QUERIES = {f.__name__: f for f in (p3.p3_found,)}
-ORACLES: dict[str, str] = {}
+QUERIES = {f.__name__: f for f in (p3.p3_found, p7.p7_found, p7.p7_leaks, p7.p7_items, p9.p9_found, p9.p9_pieces)}
+
+WORDS = "regexp_extract_all(lower(strip_accents({})), '[a-z0-9]+')"
+ORACLES: dict[str, str] = {
+    "p7_found": f"""
+        WITH d AS (SELECT doc_id, {WORDS.format('text')} AS w FROM documents WHERE text IS NOT NULL),
+        i AS (SELECT item_id, {WORDS.format('passage')} AS w FROM eval_items WHERE passage IS NOT NULL),
+        ds AS (SELECT DISTINCT doc_id, array_to_string(w[k:k+11], ' ') AS s FROM (SELECT doc_id, w, unnest(range(1, len(w) - 10)) AS k FROM d)),
+        seeds AS (SELECT DISTINCT item_id, array_to_string(w[k:k+11], ' ') AS s FROM (SELECT item_id, w, unnest(range(1, len(w) - 10)) AS k FROM i))
+        SELECT DISTINCT doc_id, item_id FROM ds JOIN seeds USING (s)
+    """,
+}
