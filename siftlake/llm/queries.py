@@ -2,9 +2,15 @@
 
 from __future__ import annotations
 
-from siftlake.llm import p3, p7, p9
+from siftlake.llm import p1, p2, p3, p7, p9
 
-QUERIES = {f.__name__: f for f in (p3.p3_found, p7.p7_found, p7.p7_leaks, p7.p7_items, p9.p9_found, p9.p9_pieces)}
+QUERIES = {
+    f.__name__: f
+    for f in (
+        p1.p1_found, p1.p1_groups, p2.p2_found, p2.p2_reasons, p3.p3_found,
+        p7.p7_found, p7.p7_leaks, p7.p7_items, p9.p9_found, p9.p9_pieces,
+    )
+}
 
 WORDS = "regexp_extract_all(lower(strip_accents({})), '[a-z0-9]+')"
 ORACLES: dict[str, str] = {
