@@ -4,12 +4,12 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from siftlake.plans import nested_queries
+from siftlake.plans import dedup_queries, nested_queries
 
-MODULES = (nested_queries,)
+MODULES = (dedup_queries, nested_queries)
 QUERIES = {name: f for m in MODULES for name, f in m.QUERIES.items()}
 ORACLES = {name: sql for m in MODULES for name, sql in m.ORACLES.items()}
 
 
 def flagship(spark: SparkSession, folder: str) -> DataFrame:
-    return nested_queries.p6_items(spark, folder)
+    return dedup_queries.screening_counts(spark, folder)
