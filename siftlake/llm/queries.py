@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
-from siftlake.llm import p1, p2, p3, p7, p9
+from siftlake.llm import p1, p2, p3, p4, p5, p7, p8, p9
 
 QUERIES = {
     f.__name__: f
     for f in (
         p1.p1_found, p1.p1_groups, p2.p2_found, p2.p2_reasons, p3.p3_found,
-        p7.p7_found, p7.p7_leaks, p7.p7_items, p9.p9_found, p9.p9_pieces,
+        p4.p4_found, p4.p4_fused, p4.p4_sources, p5.p5_found, p5.p5_confidences,
+        p7.p7_found, p7.p7_leaks, p7.p7_items, p8.p8_shares, p8.p8_copies, p9.p9_found, p9.p9_pieces,
     )
 }
 
