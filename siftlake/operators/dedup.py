@@ -92,7 +92,7 @@ def golden_records(records: DataFrame, components: DataFrame) -> DataFrame:
     def flat_union(column: str) -> Column:
         return F.array_sort(F.array_distinct(F.flatten(F.collect_set(column)))).alias(column)
 
-    grouped = records.join(components, "source_record_id").groupBy("component").agg(
+    grouped = records.drop("component").join(components.select("source_record_id", "component"), "source_record_id").groupBy("component").agg(
         *(first(c) for c in ("title", "normalised_title", "abstract", "year", "doi", "pmid", "pmcid", "nct_id")),
         F.min_by("authors", F.when(F.size("authors") > 0, rank)).alias("authors"),
         union("provider", "providers"), union("source_record_id", "source_record_ids"), flat_union("urls"), flat_union("publication_types"),
