@@ -137,7 +137,7 @@ def interval_nodes(documents: DataFrame, key: str, provider: str, text: str, roo
     """The typed nodes of each document: ``doc_key, node_type, pre, post, position, label``.
 
     Types are ``item``, ``author`` and ``affiliation``; ``position`` counts from 1 in the node's list.  A
-    list may be absent, null or empty; a lone element in its stead has position 1; null elements keep
+    list may be absent, null or empty; a lone element in its stead is numbered as a list of one; null elements keep
     their place and give no node; ``providerRecord`` may be JSON text.  A null or empty text gives no
     nodes; text that no parser reads gives one node of type ``unreadable``.  One pass, no shuffle.
     """
