@@ -146,7 +146,7 @@ def test_files_and_sinks(spark, tmp_path):
 
 
 def test_xml(spark, tmp_path):
-    (tmp_path / "a.xml").write_text("<article><article-title>T</article-title><abstract><p>One  two</p></abstract><sec><p>One two</p><p>Three</p></sec></article>")
+    (tmp_path / "a.xml").write_text("<article><article-title>T</article-title><abstract><p>One  two</p></abstract><sec><p>One two</p> <p>Three</p></sec></article>")
     (tmp_path / "evil.xml").write_text('<!DOCTYPE x [<!ENTITY e "v">]><article><p>&e;</p></article>')
     got = files.pmc_sections(spark, str(tmp_path)).collect()
     assert [(r.locator, r.text) for r in got] == [("xml:article-title[1]", "T"), ("xml:abstract[1]", "One two"), ("xml:sec[1]", "One two Three"), ("xml:p[3]", "Three")]
