@@ -33,7 +33,7 @@ from siftlake.functions.words import mix
 from siftlake.llm.boruvka import boruvka_components
 from siftlake.session import stage
 
-TREES = 5
+TREES = 8
 DEPTH = 7
 #: Words that stand in one of so many sets are counted exactly; there are at most RARE words a mean set of them.
 RARE = 1024
@@ -93,33 +93,36 @@ def distance(a: frozenset, b: frozenset) -> float:
 def join_region(sets: list[frozenset], radius: float) -> dict[tuple[int, int], float]:
     """All pairs of a region within ``radius``, exactly: ``(i, j) -> distance`` with i < j."""
     found: dict[tuple[int, int], float] = {}
-    _join(sets, list(range(len(sets))), None, radius, found)
+    _join(sets, list(range(len(sets))), radius, found)
     return found
 
 
-def _join(sets: list[frozenset], own: list[int], guests: list[int] | None, radius: float, found: dict) -> None:
-    """Pairs within ``own`` and between ``own`` and ``guests`` (guests meet each other in their own cells)."""
-    everyone = own + (guests or [])
-    if len(everyone) > CELL and guests is None:
-        pivots = [everyone[0]]
-        reach = np.array([[distance(sets[i], sets[pivots[0]]) for i in everyone]])
-        while len(pivots) < math.isqrt(len(everyone)):
-            far = int(reach.min(axis=0).argmax())
-            if reach[:, far].min() <= radius:
-                break
-            pivots.append(everyone[far])
-            reach = np.vstack([reach, [distance(sets[i], sets[pivots[-1]]) for i in everyone]])
-        home, nearest = reach.argmin(axis=0), reach.min(axis=0)
-        for cell in range(len(pivots)):
-            inside = [i for i, h in zip(everyone, home) if h == cell]
-            window = [i for i, h, d, n in zip(everyone, home, reach[cell], nearest) if h > cell and d <= n + 2 * radius + 1e-9]
-            if len(pivots) > 1 and len(inside) < len(everyone):
-                _join(sets, inside, None, radius, found)
-                _cross(sets, inside, window, radius, found)
-            else:
-                _pairs(sets, inside, radius, found)
+def _join(sets: list[frozenset], own: list[int], radius: float, found: dict) -> None:
+    """Pairs within ``own``: few are compared in windows around one pivot, many fall into the Voronoi cells of several.
+
+    If y's nearest pivot is q and x's is p, a pair within the radius has d(x, q) <= d(x, p) + 2 radius, so each cell meets only those
+    members of later cells that lie in that window.
+    """
+    if len(own) <= CELL:
+        _pairs(sets, own, radius, found)
         return
-    _pairs(sets, own, radius, found)
+    pivots = [own[0]]
+    reach = np.array([[distance(sets[i], sets[pivots[0]]) for i in own]])
+    while len(pivots) < math.isqrt(len(own)):
+        far = int(reach.min(axis=0).argmax())
+        if reach[:, far].min() <= radius:
+            break
+        pivots.append(own[far])
+        reach = np.vstack([reach, [distance(sets[i], sets[pivots[-1]]) for i in own]])
+    home, nearest = reach.argmin(axis=0), reach.min(axis=0)
+    for cell in range(len(pivots)):
+        inside = [i for i, h in zip(own, home) if h == cell]
+        window = [i for i, h, d, n in zip(own, home, reach[cell], nearest) if h > cell and d <= n + 2 * radius + 1e-9]
+        if len(inside) < len(own):
+            _join(sets, inside, radius, found)
+            _cross(sets, inside, window, radius, found)
+        else:
+            _pairs(sets, inside, radius, found)
 
 
 def _sorted_by_pivot(sets: list[frozenset], members: list[int], pivot: frozenset) -> tuple[list[int], list[float]]:
@@ -199,7 +202,7 @@ def nearness(reps: DataFrame, trees: int = TREES) -> DataFrame:
                 keys, owners = part_keys(flat, owner, known, rarity, rest, least, seed)
                 yield pa.RecordBatch.from_arrays([pa.array(keys), pa.array(ids[owners])], names=["key", "cid"])
 
-    keys = reps.select("cid", "words").mapInArrow(run, "key bigint, cid bigint")
+    keys = stage(reps.select("cid", "words").mapInArrow(run, "key bigint, cid bigint"), "keys")
     pivots = keys.groupBy("key").agg(F.min("cid").alias("pivot"), F.max("cid").alias("last")).filter("pivot < last")
     return keys.join(pivots, "key").filter("cid <> pivot").select("pivot", "cid").distinct()
 
