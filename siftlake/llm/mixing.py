@@ -182,7 +182,8 @@ def fit_rates(members: DataFrame, names: list[str], mixes: list[Mix], iterations
 
 
 def copies(members: DataFrame, names: list[str], mixes: list[Mix], moves: list[list[np.ndarray]], passes: int = PASSES) -> DataFrame:
-    """Whole copies of each document in each mix: ``mix_id, key, label, n_tokens, copies`` (documents without copies have no row).
+    """Whole copies of each document in each mix: ``mix_id, key, label, n_tokens, copies`` (documents without copies have no row, nor do those
+    without tokens).
 
     A rate is rounded up or down by its fraction against the document's own fixed draw.  The cut between both is moved for each
     domain, by a histogram over all documents, to where the domain's tokens come closest below its target; further passes fill what is
@@ -202,8 +203,8 @@ def copies(members: DataFrame, names: list[str], mixes: list[Mix], moves: list[l
         draw = mix(codes(" ".join(str(k) for k in batch.column("key").to_pylist())), 77) / 2.0**64
         for i, ((mix_id, repeats, share), own) in enumerate(zip(limits, moves)):
             rate = _rates(dense, repeats, share, own)
-            whole = np.floor(rate)
-            room = np.where(share > 0, repeats, 0)[home] > whole if count else np.zeros(len(dense), dtype=bool)
+            whole = np.where(size > 0, np.floor(rate), 0.0)
+            room = (size > 0) & (np.where(share > 0, repeats, 0)[home] > whole) if count else np.zeros(len(dense), dtype=bool)
             place = np.where(room, np.clip(((rate - whole - draw + 1) / 2 * BINS).astype(int), 0, BINS - 1), -1)
             up = np.zeros(len(dense), dtype=bool)
             for cut, limit in cuts:

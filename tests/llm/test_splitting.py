@@ -34,7 +34,7 @@ def test_any_text(text, limit, overlap):
 
 def test_strongest_boundary_wins():
     sentence = "The skin of the wrist was measured twice. "
-    text = sentence * 6 + "\n\n" + sentence * 30
+    text = sentence * 9 + "\n\n" + sentence * 30
     first = check(text, 120, 10)[0]
     assert text.encode()[: first[3]].decode().endswith("\n\n")
     plain = "word " * 2000
