@@ -39,6 +39,8 @@ DEPTH = 7
 RARE = 1024
 #: A part of a set stands for about 2^-SPARE sets other than its own relatives.
 SPARE = 1.0
+#: Words of nearly all sets still count for something, else sets that are all alike would have no telling part.
+LEAST_BITS = 0.5
 CELL = 48
 BLOCK = 2000
 
@@ -185,7 +187,7 @@ def nearness(reps: DataFrame, trees: int = TREES) -> DataFrame:
     counted = reps.select(F.explode("words").alias("word")).groupBy("word").count().filter(F.col("count") >= often).collect()
     counted.sort()
     known = np.array([r[0] for r in counted], dtype=np.int64)
-    rarity = np.log2(max(total, 2) / np.array([r[1] for r in counted], dtype=np.float64)) if counted else np.empty(0)
+    rarity = np.maximum(np.log2(max(total, 2) / np.array([r[1] for r in counted], dtype=np.float64)), LEAST_BITS) if counted else np.empty(0)
     rest = math.log2(max(total, 2) / often)
     least = math.log2(max(total, 2)) + SPARE
     shared = spark.sparkContext.broadcast((known, rarity))
