@@ -7,13 +7,14 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from siftlake.functions.identifiers import identity_form
-from siftlake.functions.words import codes
+from siftlake.functions.words import codes, mix
 from siftlake.llm import jaccard
 from siftlake.llm.p1 import THRESHOLD, content
-from siftlake.llm.suffixes import BUCKET_ROWS, SuffixHistory, suffix_keys
+from siftlake.llm.suffixes import BUCKET_ROWS, LEAST_STARTS, SuffixHistory, suffix_keys
 from siftlake.session import stage, table
 
 #: Batches in which p2_found replays the ledger; the rows don't depend on it.
@@ -78,6 +79,49 @@ def replay(texts: DataFrame, members: DataFrame, reps: DataFrame, epochs: int) -
     return found
 
 
+def parities(reps: DataFrame) -> DataFrame:
+    """``cid, size, p0 ... p3``: 256 parity bits of each word set; two sets differ in at least as many words as these differ in bits."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            offsets = batch.column(1).offsets.to_numpy()
+            hashed = mix(batch.column(1).values.to_numpy()[offsets[0] : offsets[-1]], 58)
+            sizes = np.diff(offsets)
+            bits = np.zeros((batch.num_rows, 4), dtype=np.uint64)
+            np.bitwise_xor.at(bits, (np.repeat(np.arange(batch.num_rows), sizes), (hashed >> np.uint64(6) & np.uint64(3)).astype(int)), np.uint64(1) << (hashed & np.uint64(63)))
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(sizes.astype(np.int32)), *(pa.array(bits[:, k].view(np.int64)) for k in range(4))], names=["cid", "size", "p0", "p1", "p2", "p3"])
+
+    return reps.select("cid", "words").mapInArrow(run, "cid bigint, size int, p0 bigint, p1 bigint, p2 bigint, p3 bigint")
+
+
+def second_search(reps: DataFrame, arrived: DataFrame, links: DataFrame, threshold: float) -> DataFrame:
+    """Links ``(a, b)`` of classes that ``links`` joins to no earlier one, among all earlier holders of their suffixes.
+
+    Segments keep two records of a suffix, so a class whose suffixes more hold may have missed its earlier relatives.  ``arrived`` is
+    ``(cid, first)``.  Of a pair with ``LEAST_STARTS`` starts in common one is left when the new text's most held ones go,
+    so those (common wording, mostly) are not looked up.
+    """
+    ends = F.array(F.struct(F.col("a").alias("cid"), F.col("b").alias("other")), F.struct(F.col("b").alias("cid"), F.col("a").alias("other")))
+    earlier = links.select(F.inline(ends)).join(arrived, "cid").join(arrived.select(F.col("cid").alias("other"), F.col("first").alias("before")), "other")
+    suffixes = reps.join(arrived, "cid").select("cid", "first", F.explode("suffixes").alias("suffix"))
+    counts = suffixes.groupBy("suffix").agg(F.count("*").alias("holders")).filter("holders > 1")
+    held = stage(suffixes.join(counts, "suffix"), "holders")
+    lone = held.groupBy("cid").agg(F.max("holders").alias("most")).filter("most > 2").select("cid")
+    lone = lone.join(earlier.filter("before < first").select("cid").distinct(), "cid", "left_anti")
+    asked = held.join(lone, "cid").join(reps.select("cid", F.size("suffixes").alias("starts")), "cid")
+    asked = asked.withColumn("place", F.row_number().over(W.partitionBy("cid").orderBy(F.desc("holders"), "suffix")))
+    asked = asked.filter(F.col("place") >= F.least(F.lit(LEAST_STARTS), F.col("starts"))).select(F.col("cid").alias("new"), F.col("first").alias("at"), "suffix")
+    met = asked.join(held.withColumnRenamed("cid", "other"), "suffix").filter(F.col("first") < F.col("at"))
+    pairs = met.select("new", "other").distinct()
+    # Parity bits rule out nearly all pairs that have only some wording in common before their words are fetched.
+    known = stage(parities(reps), "parities")
+    for end in ("new", "other"):
+        pairs = pairs.join(known.select(F.col("cid").alias(end), *(F.col(c).alias(f"{end}_{c}") for c in known.columns if c != "cid")), end)
+    apart = sum(F.bit_count(F.col(f"new_p{k}").bitwiseXOR(F.col(f"other_p{k}"))) for k in range(4))
+    near = apart <= (F.col("new_size") + F.col("other_size")) * ((1 - threshold) / (1 + threshold)) + 1e-6
+    return close_pairs(stage(pairs.filter(near).select("new", "other"), "near"), reps, threshold)
+
+
 def _earliest(rows: DataFrame, key: str) -> DataFrame:
     """The two earliest arrivals would be the same here: the smallest instant of each key."""
     return rows.filter(F.col(key).isNotNull() & F.col("at").isNotNull()).groupBy(key).agg(F.min("at").alias(f"first_{key}"))
@@ -111,8 +155,9 @@ def repeated_records(spark: SparkSession, folder: str, epochs: int = EPOCHS) ->
     reps = stage(texts.select("s1", "s2", "words", "suffixes").dropDuplicates(["s1", "s2"]).withColumn("cid", F.monotonically_increasing_id()), "classes")
     keys = texts.select("id", "s1", "s2").distinct().join(reps.select("cid", "s1", "s2"), ["s1", "s2"]).select("cid", "id")
     members = stage(keys.join(ledger.select("id", "at").filter("at is not null"), "id").select("cid", "id", "at"), "members")
-    links = close_pairs(replay(texts, members, reps, epochs), reps, THRESHOLD)
-    arrived = members.groupBy("cid").agg(F.min("at").alias("first"))
+    links = stage(close_pairs(replay(texts, members, reps, epochs), reps, THRESHOLD), "links")
+    arrived = stage(members.groupBy("cid").agg(F.min("at").alias("first")), "arrived")
+    links = links.unionByName(second_search(reps, arrived, links, THRESHOLD))
     ends = F.array(F.struct(F.col("a").alias("cid"), F.col("b").alias("other")), F.struct(F.col("b").alias("cid"), F.col("a").alias("other")))
     around = links.select(F.inline(ends)).join(arrived.select(F.col("cid").alias("other"), "first"), "other").select("cid", "first")
     first = around.unionByName(arrived).groupBy("cid").agg(F.min("first").alias("first"))

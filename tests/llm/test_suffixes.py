@@ -1,6 +1,8 @@
 """Problem 2: merged suffix arrays against the definition, and their cases."""
 
 import datetime
+import json
+import random
 
 import numpy as np
 
@@ -33,6 +35,29 @@ def test_result_does_not_depend_on_batches(spark, folder):
     assert results[0] == results[1] == results[2]
 
 
+def test_edited_copies_find_their_earlier_relatives(spark, tmp_path):
+    rng = random.Random(11)
+    base, days = [f"w{i}" for i in range(130)], list(range(300))
+    rng.shuffle(days)
+    texts = []
+    for i in range(300):
+        own = list(base)
+        for k in rng.sample(range(130), 10):
+            own[k] = f"x{i}y{k}"
+        texts.append(own)
+    start = datetime.datetime(2020, 1, 1)
+    at = [(start + datetime.timedelta(days=d)).isoformat() + "Z" for d in days]
+    spark.createDataFrame([(f"a{i}", f"h{i}", t) for i, t in enumerate(at)], "id string, response_sha256 string, observed_at string").write.parquet(f"{tmp_path}/acquisitions.parquet")
+    rows = [(f"r{i}", f"a{i}", f"doi:10.1234/{i}", "", json.dumps({"abstract": " ".join(t)})) for i, t in enumerate(texts)]
+    spark.createDataFrame(rows, "id string, acquisition_id string, identity_key string, title string, raw_json string").write.parquet(f"{tmp_path}/source_records.parquet")
+    spark.createDataFrame([], "identity_key string").write.parquet(f"{tmp_path}/shared_identifiers.parquet")
+    sets = [set(t) for t in texts]
+    near = lambda i, j: len(sets[i] & sets[j]) >= 0.7 * len(sets[i] | sets[j])
+    expected = {f"r{i}" for i in range(300) if any(days[j] < days[i] and near(i, j) for j in range(300) if j != i)}
+    assert len(expected) > 250
+    assert {r[0] for r in p2.p2_found(spark, str(tmp_path)).collect()} == expected
+
+
 def _texts(spark, rows):
     return spark.createDataFrame([(i, suffixes.suffix_keys(codes(t)).tolist()) for i, t in rows], "cid bigint, suffixes array<bigint>")
 
