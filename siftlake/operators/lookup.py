@@ -33,3 +33,17 @@ def salted_join(rows: DataFrame, lookup: DataFrame, key: str, how: str = "left",
     salts = F.sequence(F.lit(0), F.when(is_hot, F.lit(SALTS - 1)).otherwise(F.lit(0)))
     right = lookup.withColumn("_salt", F.explode(salts))
     return left.join(right, [key, "_salt"], how).drop("_salt")
+
+
+def spread_join(left: DataFrame, right: DataFrame, key: str, spread_by: str) -> DataFrame:
+    """Inner join of two sides with repeated keys; keys that hold more than a ``HOT_SHARE``-th of ``right`` are spread over ``SALTS`` tasks.
+
+    Rows of a hot key go to the task that the hash of their ``spread_by`` names, and its rows of ``left`` to all of them.  At most
+    ``HOT_SHARE`` keys are hot, at any size.  Null keys match nothing.
+    """
+    counts = right.filter(F.col(key).isNotNull()).groupBy(key).count()
+    hot = F.broadcast(counts.join(F.broadcast(counts.agg(F.sum("count").alias("_all"))), F.expr(f"count * {HOT_SHARE} > _all")).select(key, F.lit(True).alias("_hot")))
+    salts = F.explode(F.when(F.col("_hot"), F.sequence(F.lit(0), F.lit(SALTS - 1))).otherwise(F.array(F.lit(0))))
+    a = left.join(hot, key, "left").withColumn("_salt", salts).drop("_hot")
+    b = right.join(hot, key, "left").withColumn("_salt", F.when(F.col("_hot"), F.pmod(F.xxhash64(spread_by), F.lit(SALTS)).cast("int")).otherwise(F.lit(0))).drop("_hot")
+    return a.join(b, [key, "_salt"]).drop("_salt")
