@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -43,15 +44,15 @@ def shared_dir(spark: SparkSession) -> str:
     return holder._siftlake_dir
 
 
-def stage(df: DataFrame, name: str = "stage") -> DataFrame:
-    """Write ``df`` as a table in the shared folder and read it back.
+def stage(df: DataFrame, name: str = "stage", by: str | None = None) -> DataFrame:
+    """Write ``df`` as a table in the shared folder and read it back; ``by`` names a column of few values whose rows are read apart from others.
 
     It cuts the lineage, survives the loss of executors and makes ids drawn during the write
     (``monotonically_increasing_id``) final.
     """
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
+    (df.write.partitionBy(by) if by else df.write).parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
@@ -59,12 +60,20 @@ def drop_stage(df: DataFrame) -> None:
     """Delete the files of a table that ``stage`` wrote once nothing reads it any more."""
     spark = df.sparkSession
     jvm = spark.sparkContext._jvm
-    parents = {file.rsplit("/", 1)[0] for file in df.inputFiles()}
+    parents = {re.sub(r"/[^/]+=[^/]*$", "", file.rsplit("/", 1)[0]) for file in df.inputFiles()}
     for parent in parents:
         path = jvm.org.apache.hadoop.fs.Path(parent)
         path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
 
 
+def bounded(df: DataFrame, most: int) -> list:
+    """The rows of a table that is small by its meaning (configuration, sources); more than ``most`` are an error, never cut off."""
+    rows = df.limit(most + 1).collect()
+    if len(rows) > most:
+        raise ValueError(f"more than {most} rows where a small table is needed")
+    return rows
+
+
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     """One of the project's Parquet tables."""
     return spark.read.parquet(f"{folder}/{name}.parquet")
