@@ -1,10 +1,10 @@
 """Problem 8: mixing sources to target weights by soft membership and projected gradients.
 
-A classifier fitted on labelled documents predicts, for a document without a label, how likely it belongs to each domain
-(source); a labelled document belongs to its own.  Nonnegative rates, at most the allowed repeats,
-are fitted by least squares so that the expected tokens of every domain match their targets.  The gradient of a
-document needs only the domains' totals, so an iteration is one pass that sums one row per batch; a document's
-rate is refolded from the totals of all iterations so far and never stored.
+A classifier fitted on labelled documents predicts for *every* document how likely its text belongs to each domain (source).  A label is
+strong but not certain evidence beside the text: it holds with probability ``1 - NOISE``.  The posterior of both is the document's
+soft membership, kept on its two likeliest domains in ``GRAIN``-ths.  Nonnegative rates, at most the allowed repeats, are fitted by least squares so that the
+expected tokens of every domain match their targets.  Documents of equal membership have equal rates, so the distributed gradient runs over the
+tokens summed by membership, and only domains' totals reach the driver.  Rounding to whole copies then goes by the labels themselves.
 """
 
 from __future__ import annotations
@@ -20,15 +20,21 @@ from pyspark.sql import functions as F
 
 from siftlake.functions.words import codes, mix
 from siftlake.llm import tokens
-from siftlake.session import stage
+from siftlake.session import bounded, stage
 
-#: Labelled documents that the classifier is fitted on at most (those with the smallest hashes); its hashed features.
+#: Labelled documents that the classifier is fitted on, about at most (those with the smallest hashes of their keys); its hashed features.
 FIT_DOCUMENTS, FEATURES = 20_000, 1 << 13
-ITERATIONS, CLOSE = 40, 1e-4
+#: A label is wrong with this probability; memberships are kept in so many parts.
+NOISE, GRAIN = 0.02, 64
+#: More sources than this would be no table for the driver.
+MOST_SOURCES = 1000
+#: Rates are fitted until all totals are this close to their targets, relative to the mix, or an iteration brings them no nearer.
+ITERATIONS, CLOSE, NO_NEARER = 40, 1e-4, 1e-3
 #: Bins of the cut between rounding up and down.
 BINS = 4096
 #: Passes that fill a domain's rest with ever smaller documents.
 PASSES = 5
+MEMBER = ("label", "first", "second", "level")
 
 
 @dataclass
@@ -40,6 +46,7 @@ class Mix:
     repeats: np.ndarray
     asked: dict[str, tuple[float, int]]
     target: np.ndarray = field(default_factory=lambda: np.empty(0))
+    expected: np.ndarray = field(default_factory=lambda: np.empty(0))
 
 
 def domain(column) -> F.Column:
@@ -48,9 +55,14 @@ def domain(column) -> F.Column:
     return F.when(name != "", name)
 
 
-def fit_classifier(documents: DataFrame, text: str, label: str, names: list[str], limit: int) -> np.ndarray:
-    """Multinomial naive Bayes over hashed words: log likelihoods (domains x features), the last column the log prior."""
-    sample = documents.filter(F.col(label).isNotNull()).select(label, text).orderBy(F.xxhash64(text, label)).limit(limit)
+def fit_classifier(documents: DataFrame, key: str, text: str, label: str, names: list[str], limit: int) -> np.ndarray:
+    """Multinomial naive Bayes over hashed words: log likelihoods (domains x features), the last column the log prior.
+
+    It reads the labelled documents whose keys hash into the share that makes about ``limit`` of them, all if there are fewer.
+    """
+    labelled = documents.filter(F.col(label).isNotNull())
+    total = labelled.select(label).count()
+    share = F.pmod(F.xxhash64(F.col(key).cast("string"), F.lit("fit")), F.lit(1 << 30)) < int(min(1.0, limit / max(total, 1)) * (1 << 30))
     place = {n: i for i, n in enumerate(names)}
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -63,7 +75,7 @@ def fit_classifier(documents: DataFrame, text: str, label: str, names: list[str]
                     counts[int(cell)] = counts.get(int(cell), 0) + int(n)
             yield pa.RecordBatch.from_arrays([pa.array(list(counts), pa.int64()), pa.array(list(counts.values()), pa.int64())], names=["cell", "n"])
 
-    summed = sample.mapInArrow(run, "cell bigint, n bigint").groupBy("cell").agg(F.sum("n").alias("n")).toPandas()
+    summed = labelled.filter(share).select(label, text).mapInArrow(run, "cell bigint, n bigint").groupBy("cell").agg(F.sum("n").alias("n")).toPandas()
     table = np.zeros(len(names) * (FEATURES + 1))
     table[summed["cell"].to_numpy(dtype=np.int64)] = summed["n"].to_numpy(dtype=float)
     table = table.reshape(len(names), FEATURES + 1)
@@ -72,112 +84,132 @@ def fit_classifier(documents: DataFrame, text: str, label: str, names: list[str]
     return np.hstack([words, prior])
 
 
-def posterior(model: np.ndarray, words: np.ndarray) -> np.ndarray:
-    """Domain probabilities of a text; the evidence is tempered by its length, as words aren't independent."""
+def posterior(model: np.ndarray, words: np.ndarray, label: int | None = None) -> np.ndarray:
+    """Domain probabilities of a text and its label, if it has one; the text's evidence is tempered by its length, as words aren't independent."""
     score = model[:, -1].copy()
     if len(words):
         cells, n = np.unique((mix(words, 9) % np.uint64(FEATURES)).astype(np.int64), return_counts=True)
         score += (model[:, cells] @ n) / np.sqrt(len(words))
+    if label is not None and len(score) > 1:
+        score[label] += np.log((1 - NOISE) * (len(score) - 1) / NOISE)
     score = np.exp(score - score.max())
     return score / score.sum()
 
 
 def memberships(documents: DataFrame, key: str, text: str, source: str, vocabulary: str = tokens.DEFAULT_VOCABULARY, fit_documents: int = FIT_DOCUMENTS) -> tuple[DataFrame, list[str]]:
-    """``key, label, n_tokens, member``: the tokens of each document and its probability for each domain.
+    """``key, n_tokens, label, first, second, level``: the tokens of each document and its membership, ``level`` GRAIN-ths of it in ``second``.
 
-    The domains are those of the labelled documents.  Null and empty texts have no tokens.
+    The domains are those of the labelled documents; ``label`` is null without one.  Null and empty texts have no tokens, and their label alone to go by.
     """
     spark = documents.sparkSession
     given = documents.select(F.col(key).alias("key"), F.col(text).alias("text"), domain(F.col(source)).alias("label"))
-    names = sorted(r[0] for r in given.select("label").dropna().distinct().limit(10_001).collect())
-    if len(names) > 10_000:
-        raise ValueError("more than 10000 sources are no mixture table")
-    unlabelled = bool(given.filter("label is null").limit(1).count())
-    model = fit_classifier(given, "text", "label", names, fit_documents) if unlabelled and names else None
+    names = sorted(r[0] for r in bounded(given.select("label").dropna().distinct(), MOST_SOURCES))
+    model = fit_classifier(given, "key", "text", "label", names, fit_documents) if names else None
     shared = spark.sparkContext.broadcast(model)
     place, path = {n: i for i, n in enumerate(names)}, tokens.vocabulary_path(vocabulary)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        model = shared.value
         for batch in batches:
-            sizes, labels, members = [], batch.column(2).to_pylist(), []
-            for body, name in zip(batch.column(1), labels):
-                body = body.as_py()
-                sizes.append(tokens.count(body, path))
-                members.append(None if name is not None or shared.value is None else posterior(shared.value, codes(body)).tolist())
-            at = [place.get(n) for n in labels]
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(at, pa.int32()), pa.array(sizes, pa.int64()), pa.array(members, pa.list_(pa.float64()))],
-                names=["key", "label", "n_tokens", "member"],
-            )
+            columns: list[list] = [[], [], [], [], []]
+            for body, name in zip(batch.column(1), batch.column(2).to_pylist()):
+                body, label = body.as_py(), place.get(name)
+                first, second, level = 0, 0, 0
+                if model is not None:
+                    share = posterior(model, codes(body), label)
+                    first, second = int(share.argmax()), 0
+                    if len(share) > 1:
+                        rest = share.copy()
+                        rest[first] = -1.0
+                        second = int(rest.argmax())
+                        level = int(round(GRAIN * share[second] / (share[first] + share[second])))
+                for column, value in zip(columns, (tokens.count(body, path), label, first, second if level else first, level)):
+                    column.append(value)
+            kinds = (pa.int64(), *(pa.int32(),) * 4)
+            yield pa.RecordBatch.from_arrays([batch.column(0), *(pa.array(c, k) for c, k in zip(columns, kinds))], names=["key", "n_tokens", *MEMBER])
 
     kind = documents.schema[key].dataType.simpleString()
-    return stage(given.mapInArrow(run, f"key {kind}, label int, n_tokens bigint, member array<double>"), "members"), names
+    return stage(given.mapInArrow(run, f"key {kind}, n_tokens bigint, label int, first int, second int, level int"), "members"), names
+
+
+def by_membership(members: DataFrame) -> DataFrame:
+    """Tokens summed by membership; with the rates of its row each document has its own."""
+    return stage(members.groupBy(*MEMBER).agg(F.sum("n_tokens").alias("n_tokens"), F.count("*").alias("documents")), "vectors")
 
 
-def _dense(batch: pa.RecordBatch, count: int) -> tuple[np.ndarray, np.ndarray]:
-    """Memberships (documents x domains) and tokens of a batch."""
-    label = np.array([-1 if x is None else x for x in batch.column("label").to_pylist()])
-    dense = np.zeros((len(label), count))
-    known = np.flatnonzero(label >= 0)
-    dense[known, label[known]] = 1.0
-    for i, member in enumerate(batch.column("member").to_pylist()):
-        if member is not None:
-            dense[i] = member
-    return dense, np.asarray(batch.column("n_tokens").to_numpy(zero_copy_only=False), dtype=float)
+def _dense(batch: pa.RecordBatch, count: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Memberships (rows x domains), tokens and homes (the label, else the likeliest domain) of a batch."""
+    first, second, level = (batch.column(c).to_numpy(zero_copy_only=False).astype(int) for c in MEMBER[1:])
+    home = np.array([f if x is None else x for x, f in zip(batch.column("label").to_pylist(), first)], dtype=int)
+    dense = np.zeros((len(first), count))
+    if count:
+        rows = np.arange(len(first))
+        np.add.at(dense, (rows, first), 1 - level / GRAIN)
+        np.add.at(dense, (rows, second), level / GRAIN)
+    return dense, np.asarray(batch.column("n_tokens").to_numpy(zero_copy_only=False), dtype=float), home
 
 
-def _rates(dense: np.ndarray, repeats: np.ndarray, share: np.ndarray, moves: list[np.ndarray]) -> np.ndarray:
-    """A batch's rates after the moves so far: each a step against the gradient, projected to 0..repeats."""
-    most = np.where(share > 0, repeats, 0)[dense.argmax(axis=1)] if dense.shape[1] else np.zeros(len(dense))
-    rate = np.zeros(len(dense))
+def _rates(dense: np.ndarray, home: np.ndarray, repeats: np.ndarray, share: np.ndarray, moves: list[np.ndarray]) -> np.ndarray:
+    """Rates after the moves so far: each a step against the gradient, projected to 0..repeats of the row's home."""
+    if not dense.shape[1] or not len(dense):
+        return np.zeros(len(dense))
+    own, back = np.unique(np.column_stack([home, dense]), axis=0, return_inverse=True)
+    most = np.where(share > 0, repeats, 0)[own[:, 0].astype(int)]
+    rate = np.zeros(len(own))
     for move in moves:
-        rate = np.clip(rate - dense @ move, 0.0, most)
-    return rate
+        rate = np.clip(rate - own[:, 1:] @ move, 0.0, most)
+    return rate[back.ravel()]
 
 
-def _totals(members: DataFrame, mixes: list[Mix], moves: list[list[np.ndarray]], count: int) -> np.ndarray:
-    """Expected tokens of each mix (rows) by domain (columns) under the rates so far; row 0: all tokens at rate 1."""
-    shared = members.sparkSession.sparkContext.broadcast(([(m.repeats, m.share) for m in mixes], moves))
+def _totals(vectors: DataFrame, mixes: list[Mix], moves: list[list[np.ndarray]], count: int) -> np.ndarray:
+    """Expected tokens of each mix (rows from 2) by domain (columns) under the rates so far; rows 0 and 1: all tokens once, by home and as expected."""
+    shared = vectors.sparkSession.sparkContext.broadcast(([(m.repeats, m.share) for m in mixes], moves))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         limits, moves = shared.value
-        total = np.zeros((len(limits) + 1, count))
+        total = np.zeros((len(limits) + 2, count))
         for batch in batches:
-            dense, size = _dense(batch, count)
-            total[0] += size @ dense
-            for i, ((repeats, share), own) in enumerate(zip(limits, moves), 1):
-                total[i] += (size * _rates(dense, repeats, share, own)) @ dense
+            dense, size, home = _dense(batch, count)
+            if count:
+                np.add.at(total[0], home, size)
+            total[1] += size @ dense
+            for i, ((repeats, share), own) in enumerate(zip(limits, moves), 2):
+                total[i] += (size * _rates(dense, home, repeats, share, own)) @ dense
         yield pa.RecordBatch.from_arrays([pa.array(np.arange(total.size)), pa.array(total.ravel())], names=["cell", "t"])
 
-    rows = members.select("label", "n_tokens", "member").mapInArrow(run, "cell bigint, t double").groupBy("cell").agg(F.sum("t").alias("t")).toPandas()
-    total = np.zeros((len(mixes) + 1) * count)
+    rows = vectors.select(*MEMBER, "n_tokens").mapInArrow(run, "cell bigint, t double").groupBy("cell").agg(F.sum("t").alias("t")).toPandas()
+    total = np.zeros((len(mixes) + 2) * count)
     total[rows["cell"].to_numpy(dtype=np.int64)] = rows["t"]
-    return total.reshape(len(mixes) + 1, count)
+    return total.reshape(len(mixes) + 2, count)
 
 
 def fit_rates(members: DataFrame, names: list[str], mixes: list[Mix], iterations: int = ITERATIONS) -> list[list[np.ndarray]]:
-    """Moves that lead from zero to the least-squares rates of each mix, and the mixes' token targets set.
+    """Moves that lead from zero to the least-squares rates of each mix; sets the mixes' token targets and expected totals.
 
     A mix is as large as lets every domain that has documents reach its share within its repeats.  The gradient is scaled by the
     domains' tokens, so domains of any size converge alike.
     """
-    count = len(names)
+    count, vectors = len(names), by_membership(members)
     moves: list[list[np.ndarray]] = [[] for _ in mixes]
-    base = _totals(members, mixes, moves, count)[0]
+    total = _totals(vectors, mixes, moves, count)
+    held, base = total[0], total[1]
     for m in mixes:
-        m.share = np.where(base > 0, m.share, 0.0)
+        m.share = np.where(held > 0, m.share, 0.0)
         m.share = m.share / m.share.sum() if m.share.sum() > 0 else m.share
         wanted = m.share > 0
-        size = (m.repeats[wanted] * base[wanted] / m.share[wanted]).min() if wanted.any() else 0.0
+        size = (m.repeats[wanted] * held[wanted] / m.share[wanted]).min() if wanted.any() else 0.0
         m.target = m.share * size
-    total = np.zeros((len(mixes) + 1, count))
+    before = np.inf
     for _ in range(iterations):
-        gaps = [np.where(base > 0, (total[i] - m.target) / np.maximum(base, 1.0), 0.0) for i, m in enumerate(mixes, 1)]
-        if all(np.abs(total[i] - m.target).sum() <= CLOSE * max(m.target.sum(), 1.0) for i, m in enumerate(mixes, 1)):
+        off = max((np.abs(t - m.target).sum() / max(m.target.sum(), 1.0) for t, m in zip(total[2:], mixes)), default=0.0)
+        if off <= CLOSE or off >= (1 - NO_NEARER) * before:
             break
-        for own, gap in zip(moves, gaps):
-            own.append(gap)
-        total = _totals(members, mixes, moves, count)
+        before = off
+        for own, t, m in zip(moves, total[2:], mixes):
+            own.append(np.where(base > 0, (t - m.target) / np.maximum(base, 1.0), 0.0))
+        total = _totals(vectors, mixes, moves, count)
+    for m, t in zip(mixes, total[2:]):
+        m.expected = t
     return moves
 
 
@@ -198,11 +230,10 @@ def copies(members: DataFrame, names: list[str], mixes: list[Mix], moves: list[l
     def chosen(batch: pa.RecordBatch, cuts: list[tuple[np.ndarray, np.ndarray]]) -> Iterator[tuple]:
         """For each mix: home domain, size, whole copies, bin of the margin (-1: no further copy allowed), rounded up so far."""
         limits, moves = plan.value
-        dense, size = _dense(batch, count)
-        home = dense.argmax(axis=1) if count else np.zeros(len(dense), dtype=int)
+        dense, size, home = _dense(batch, count)
         draw = mix(codes(" ".join(str(k) for k in batch.column("key").to_pylist())), 77) / 2.0**64
         for i, ((mix_id, repeats, share), own) in enumerate(zip(limits, moves)):
-            rate = _rates(dense, repeats, share, own)
+            rate = _rates(dense, home, repeats, share, own)
             whole = np.where(size > 0, np.floor(rate), 0.0)
             room = (size > 0) & (np.where(share > 0, repeats, 0)[home] > whole) if count else np.zeros(len(dense), dtype=bool)
             place = np.where(room, np.clip(((rate - whole - draw + 1) / 2 * BINS).astype(int), 0, BINS - 1), -1)

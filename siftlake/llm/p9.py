@@ -5,12 +5,12 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from siftlake.llm.splitting import split_documents
-from siftlake.session import table
+from siftlake.session import bounded, table
 
 
 def settings(spark: SparkSession, folder: str) -> list[tuple[int, int, int]]:
-    """The rows of ``split_settings``, a table of fixed size."""
-    rows = table(spark, folder, "split_settings").distinct().take(1000)
+    """The rows of ``split_settings``, a table of fixed size; more than 1000 are an error."""
+    rows = bounded(table(spark, folder, "split_settings").select("setting_id", "max_tokens", "overlap_tokens").distinct(), 1000)
     return sorted((r.setting_id, r.max_tokens, r.overlap_tokens) for r in rows)
 
 
