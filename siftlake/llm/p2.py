@@ -7,124 +7,47 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
-from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from siftlake.functions.identifiers import identity_form
-from siftlake.functions.words import codes, mix
+from siftlake.functions.words import codes
 from siftlake.llm import jaccard
 from siftlake.llm.p1 import THRESHOLD, content
-from siftlake.llm.suffixes import BUCKET_ROWS, LEAST_STARTS, SuffixHistory, suffix_keys
-from siftlake.session import stage, table
+from siftlake.llm.suffixes import BUCKET_ROWS, History, exact_key, parities, suffix_keys
+from siftlake.session import drop_stage, stage, table
 
 #: Batches in which p2_found replays the ledger; the rows don't depend on it.
 EPOCHS = 4
+#: Suffixes that winnowing leaves of a text, about, for the number of buckets.
+SUFFIXES = 48
+TEXT = "s1 bigint, s2 bigint, size int, p0 bigint, p1 bigint, p2 bigint, p3 bigint, words array<bigint>, keys array<bigint>, masks array<bigint>"
 
 
-def record_texts(records: DataFrame) -> DataFrame:
-    """``id, s1, s2, words, suffixes`` of each record that has an abstract."""
+def described(records: DataFrame, beside: tuple[str, ...]) -> DataFrame:
+    """``records`` (``id, title, raw_json`` and the columns ``beside``) with the description of their texts in place of title and JSON.
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            ids, sets, ends = [], [], []
-            for key, title, raw in zip(batch.column(0).to_pylist(), batch.column(1), batch.column(2)):
-                body = content(title.as_py(), raw.as_py())
-                if body is not None and key is not None:
-                    words = codes(body, entities=True)
-                    ids.append(key)
-                    sets.append(np.unique(words))
-                    ends.append(suffix_keys(words))
-            lists = []
-            for part in (sets, ends):
-                offsets = np.concatenate([[0], np.cumsum([len(s) for s in part])]).astype(np.int32)
-                flat = np.concatenate(part) if part else np.empty(0, dtype=np.int64)
-                lists.append((flat, offsets))
-            s1, s2 = jaccard.set_signatures(lists[0][0], lists[0][1])
-            arrays = [pa.ListArray.from_arrays(pa.array(o), pa.array(v)) for v, o in lists]
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(ids, pa.string()), pa.array(s1), pa.array(s2), *arrays], names=["id", "s1", "s2", "words", "suffixes"]
-            )
-
-    ddl = "id string, s1 bigint, s2 bigint, words array<bigint>, suffixes array<bigint>"
-    return records.select("id", "title", "raw_json").mapInArrow(run, ddl)
-
-
-def close_pairs(candidates: DataFrame, reps: DataFrame, threshold: float) -> DataFrame:
-    """The exact check: candidate pairs ``(new, other)`` of classes within the threshold, as ``(a, b)``."""
-    pairs = candidates.select(F.least("new", "other").alias("a"), F.greatest("new", "other").alias("b")).distinct()
-    sets = reps.select("cid", "words")
-    both = pairs.join(sets.select(F.col("cid").alias("a"), F.col("words").alias("x")), "a").join(sets.select(F.col("cid").alias("b"), F.col("words").alias("y")), "b")
-    common = F.size(F.array_intersect("x", "y"))
-    union = F.size("x") + F.size("y") - common
-    return both.filter((common / union >= threshold - 1e-12) | (union == 0)).select("a", "b")
-
-
-def replay(texts: DataFrame, members: DataFrame, reps: DataFrame, epochs: int) -> DataFrame:
-    """Candidates of a ledger accepted in ``epochs`` batches: ``members`` are ``(cid, id, at)``.
-
-    A class of equal word sets arrives with its first record.
+    ``s1, s2`` sign the set of words, ``size, p0 ... p3`` are its size and parity bits, ``words`` the set, ``keys, masks`` the suffixes of the text.  All are null
+    for a record without an abstract.
     """
-    spark = reps.sparkSession
-    arrived = members.groupBy("cid").agg(F.min("at").alias("first"), F.min("id").alias("id"))
-    first = arrived.select("cid", F.unix_micros("first").alias("first"), "id")
-    cuts = [c for c in first.approxQuantile("first", [i / epochs for i in range(1, epochs)], 0.01)] if epochs > 1 else []
-    batch = sum((F.when(F.col("first") > F.lit(int(c)), 1).otherwise(0) for c in cuts), F.lit(0))
-    timed = stage(reps.select("cid", "suffixes").join(first.select("cid", batch.alias("batch")), "cid"), "arrivals")
-    total = timed.agg(F.sum(F.size("suffixes"))).first()[0] or 0
-    history = SuffixHistory(spark, max(8, -(-int(total) // BUCKET_ROWS)))
-    found = None
-    for e in range(epochs):
-        part = stage(history.append(timed.filter(F.col("batch") == e)), "candidates")
-        found = part if found is None else found.unionByName(part)
-    return found
-
-
-def parities(reps: DataFrame) -> DataFrame:
-    """``cid, size, p0 ... p3``: 256 parity bits of each word set; two sets differ in at least as many words as these differ in bits."""
+    kinds = (pa.int64(), pa.int64(), pa.int32(), *(pa.int64(),) * 4, *(pa.list_(pa.int64()),) * 3)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            offsets = batch.column(1).offsets.to_numpy()
-            hashed = mix(batch.column(1).values.to_numpy()[offsets[0] : offsets[-1]], 58)
-            sizes = np.diff(offsets)
-            bits = np.zeros((batch.num_rows, 4), dtype=np.uint64)
-            np.bitwise_xor.at(bits, (np.repeat(np.arange(batch.num_rows), sizes), (hashed >> np.uint64(6) & np.uint64(3)).astype(int)), np.uint64(1) << (hashed & np.uint64(63)))
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(sizes.astype(np.int32)), *(pa.array(bits[:, k].view(np.int64)) for k in range(4))], names=["cid", "size", "p0", "p1", "p2", "p3"])
-
-    return reps.select("cid", "words").mapInArrow(run, "cid bigint, size int, p0 bigint, p1 bigint, p2 bigint, p3 bigint")
-
-
-def second_search(reps: DataFrame, arrived: DataFrame, links: DataFrame, threshold: float) -> DataFrame:
-    """Links ``(a, b)`` of classes that ``links`` joins to no earlier one, among all earlier holders of their suffixes.
+            rows = []
+            for key, title, raw in zip(batch.column(0).to_pylist(), batch.column(1), batch.column(2)):
+                body = content(title.as_py(), raw.as_py()) if key is not None else None
+                if body is None:
+                    rows.append((None,) * len(kinds))
+                    continue
+                words = codes(body, entities=True)
+                own = np.unique(words)
+                s1, s2 = jaccard.set_signatures(own, np.array([0, len(own)]))
+                rows.append((int(s1[0]), int(s2[0]), len(own), *parities(own).tolist(), own, *suffix_keys(words)))
+            arrays = [pa.array([r[k] for r in rows], kind) for k, kind in enumerate(kinds)]
+            yield pa.RecordBatch.from_arrays([batch.column(0), *batch.columns[3:], *arrays], names=["id", *beside, *(c.split()[0] for c in TEXT.split(", "))])
 
-    Segments keep two records of a suffix, so a class whose suffixes more hold may have missed its earlier relatives.  ``arrived`` is
-    ``(cid, first)``.  Of a pair with ``LEAST_STARTS`` starts in common one is left when the new text's most held ones go,
-    so those (common wording, mostly) are not looked up.
-    """
-    ends = F.array(F.struct(F.col("a").alias("cid"), F.col("b").alias("other")), F.struct(F.col("b").alias("cid"), F.col("a").alias("other")))
-    earlier = links.select(F.inline(ends)).join(arrived, "cid").join(arrived.select(F.col("cid").alias("other"), F.col("first").alias("before")), "other")
-    suffixes = reps.join(arrived, "cid").select("cid", "first", F.explode("suffixes").alias("suffix"))
-    counts = suffixes.groupBy("suffix").agg(F.count("*").alias("holders")).filter("holders > 1")
-    held = stage(suffixes.join(counts, "suffix"), "holders")
-    lone = held.groupBy("cid").agg(F.max("holders").alias("most")).filter("most > 2").select("cid")
-    lone = lone.join(earlier.filter("before < first").select("cid").distinct(), "cid", "left_anti")
-    asked = held.join(lone, "cid").join(reps.select("cid", F.size("suffixes").alias("starts")), "cid")
-    asked = asked.withColumn("place", F.row_number().over(W.partitionBy("cid").orderBy(F.desc("holders"), "suffix")))
-    asked = asked.filter(F.col("place") >= F.least(F.lit(LEAST_STARTS), F.col("starts"))).select(F.col("cid").alias("new"), F.col("first").alias("at"), "suffix")
-    met = asked.join(held.withColumnRenamed("cid", "other"), "suffix").filter(F.col("first") < F.col("at"))
-    pairs = met.select("new", "other").distinct()
-    # Parity bits rule out nearly all pairs that have only some wording in common before their words are fetched.
-    known = stage(parities(reps), "parities")
-    for end in ("new", "other"):
-        pairs = pairs.join(known.select(F.col("cid").alias(end), *(F.col(c).alias(f"{end}_{c}") for c in known.columns if c != "cid")), end)
-    apart = sum(F.bit_count(F.col(f"new_p{k}").bitwiseXOR(F.col(f"other_p{k}"))) for k in range(4))
-    near = apart <= (F.col("new_size") + F.col("other_size")) * ((1 - threshold) / (1 + threshold)) + 1e-6
-    return close_pairs(stage(pairs.filter(near).select("new", "other"), "near"), reps, threshold)
-
-
-def _earliest(rows: DataFrame, key: str) -> DataFrame:
-    """The two earliest arrivals would be the same here: the smallest instant of each key."""
-    return rows.filter(F.col(key).isNotNull() & F.col("at").isNotNull()).groupBy(key).agg(F.min("at").alias(f"first_{key}"))
+    ddl = ", ".join(["id string", *(f"{c} {records.schema[c].dataType.simpleString()}" for c in beside), TEXT])
+    return records.select("id", "title", "raw_json", *beside).mapInArrow(run, ddl)
 
 
 def instant(column: str) -> Column:
@@ -132,44 +55,46 @@ def instant(column: str) -> Column:
     return F.try_to_timestamp(F.col(column))
 
 
+def ledger(spark: SparkSession, folder: str, epochs: int) -> DataFrame:
+    """Records with the instant of their acquisition, the keys of identity and response, their texts and the batch they come in, staged by batch.
+
+    Acquisitions without records have a row without ``id``; records without a readable instant have no batch.
+    """
+    batches = table(spark, folder, "acquisitions").select(
+        F.col("id").alias("acquisition_id"), exact_key("response", F.col("response_sha256")).alias("response"), F.unix_micros(instant("observed_at")).alias("at")
+    ).dropDuplicates(["acquisition_id"])
+    cuts = batches.approxQuantile("at", [i / epochs for i in range(1, epochs)], 0.01) if epochs > 1 else []
+    batch = sum((F.when(F.col("at") > F.lit(int(c)), 1).otherwise(0) for c in cuts), F.lit(0))
+    shared = table(spark, folder, "shared_identifiers").select(identity_form(F.col("identity_key")).alias("form"), F.lit(True).alias("is_shared")).distinct()
+    form = identity_form(F.col("identity_key"))
+    records = table(spark, folder, "source_records").select("id", "acquisition_id", form.alias("form"), "title", "raw_json").join(F.broadcast(shared), "form", "left")
+    # A shared identifier may stand on a third of all rows: it never becomes a key.
+    named = records.select("id", "acquisition_id", exact_key("identity", F.when(F.col("is_shared").isNull(), F.col("form"))).alias("identity"), "title", "raw_json")
+    dated = batches.withColumn("batch", F.when(F.col("at").isNotNull(), batch).otherwise(-1)).join(named, "acquisition_id", "left")
+    return stage(described(dated, ("batch", "at", "response", "identity")), "ledger", by="batch")
+
+
 def repeated_records(spark: SparkSession, folder: str, epochs: int = EPOCHS) -> DataFrame:
     """Every record with the reasons for which it repeats something that an earlier acquisition brought.
 
     ``source_record_id, by_response, by_identity, by_content``: booleans.  Records without a readable
-    ``observed_at`` repeat nothing and are repeated by nothing; records without an abstract never match by content.
+    ``observed_at`` repeat nothing and are repeated by nothing; records without an abstract never match by content; records of no
+    listed acquisition have no row.  The ledger is accepted in ``epochs`` batches by time.
     """
-    batches = table(spark, folder, "acquisitions").select(
-        F.col("id").alias("acquisition_id"), "response_sha256", instant("observed_at").alias("at")
-    ).dropDuplicates(["acquisition_id"])
-    shared = table(spark, folder, "shared_identifiers").select(identity_form(F.col("identity_key")).alias("identity")).distinct()
-    source = table(spark, folder, "source_records")
-    records = source.select("id", "acquisition_id", identity_form(F.col("identity_key")).alias("identity")).distinct()
-    ledger = stage(records.join(batches, "acquisition_id"), "ledger")
-
-    response = _earliest(batches, "response_sha256")
-    # A shared identifier may stand on a third of all rows: it goes before anything is grouped or joined by identity.
-    named = ledger.join(F.broadcast(shared), "identity", "left_anti").select("id", "identity", "at")
-    by_identity = named.join(_earliest(named, "identity"), "identity").filter("first_identity < at").select("id").distinct().withColumn("by_identity", F.lit(True))
-
-    texts = stage(record_texts(source), "texts")
-    reps = stage(texts.select("s1", "s2", "words", "suffixes").dropDuplicates(["s1", "s2"]).withColumn("cid", F.monotonically_increasing_id()), "classes")
-    keys = texts.select("id", "s1", "s2").distinct().join(reps.select("cid", "s1", "s2"), ["s1", "s2"]).select("cid", "id")
-    members = stage(keys.join(ledger.select("id", "at").filter("at is not null"), "id").select("cid", "id", "at"), "members")
-    links = stage(close_pairs(replay(texts, members, reps, epochs), reps, THRESHOLD), "links")
-    arrived = stage(members.groupBy("cid").agg(F.min("at").alias("first")), "arrived")
-    links = links.unionByName(second_search(reps, arrived, links, THRESHOLD))
-    ends = F.array(F.struct(F.col("a").alias("cid"), F.col("b").alias("other")), F.struct(F.col("b").alias("cid"), F.col("a").alias("other")))
-    around = links.select(F.inline(ends)).join(arrived.select(F.col("cid").alias("other"), "first"), "other").select("cid", "first")
-    first = around.unionByName(arrived).groupBy("cid").agg(F.min("first").alias("first"))
-    by_content = members.join(first, "cid").filter("first < at").select("id").distinct().withColumn("by_content", F.lit(True))
-
-    said = ledger.join(response, "response_sha256", "left").join(by_identity, "id", "left").join(by_content, "id", "left")
-    no = F.lit(False)
-    return said.groupBy(F.col("id").alias("source_record_id")).agg(
-        F.coalesce(F.bool_or(F.col("first_response_sha256") < F.col("at")), no).alias("by_response"),
-        F.coalesce(F.bool_or("by_identity"), no).alias("by_identity"),
-        F.coalesce(F.bool_or("by_content"), no).alias("by_content"),
-    )
+    rows = ledger(spark, folder, epochs)
+    texts = rows.filter("size is not null").select("size").count()
+    history = History(spark, max(8, -(-texts * SUFFIXES // BUCKET_ROWS)), THRESHOLD)
+    exact = ("response", "identity")
+    found = [history.accept(rows.filter(F.col("batch") == e), exact) for e in range(epochs)]
+    history.forget()
+    late = [F.coalesce(F.col(f"first_{name}") < F.col("at"), F.lit(False)).alias(f"by_{name}") for name in (*exact, "content")]
+    every = rows.filter("batch = -1 and id is not null").select("id", *(F.lit(False).alias(f"by_{name}") for name in (*exact, "content")))
+    for part in found:
+        every = every.unionByName(part.select("id", *late))
+    done = stage(every.groupBy(F.col("id").alias("source_record_id")).agg(*(F.bool_or(f"by_{n}").alias(f"by_{n}") for n in (*exact, "content"))), "repeated")
+    for part in (rows, *found):
+        drop_stage(part)
+    return done
 
 
 def p2_found(spark: SparkSession, folder: str) -> DataFrame:

@@ -1,45 +1,60 @@
 """Problem 2: new batches against all history, by immutable suffix arrays merged logarithmically.
 
-A batch's texts are read as words, one byte of a word's code as its symbol.  The suffixes of the
-concatenated texts, each cut off at the end of its text, are sorted by their first ``DEPTH`` symbols; those sorted
-arrays, split into buckets by suffix, are a *segment*.  Segments are never changed.  When two segments reach the same
-tier (a power of two of batches) they are merged into one of the next, so history lies in at most
-log2(batches) segments, and every suffix is copied log2(batches) times in all.
-
-Suffixes start at the words where the running minimum of a window over the hashes of the next ``DEPTH`` words
-falls (winnowing), so equal runs of ``DEPTH + WINDOW - 1`` words always share a start; a text too short for that
-has its whole as the only suffix.  For each suffix of a new batch, binary search finds the equal ones of
-each segment; of several equal ones a segment keeps the first and the last record, so that wording which a large
-part of history shares takes no more room or time than any other.
+History lies in a folder of its own and outlives the session: a manifest names its tables, and another session opens it again.
+
+* *Suffix arrays.*  A batch's new texts are read as words, one byte of a word's code as its symbol.  The suffixes of the concatenated texts, each cut off
+  at the end of its text, are sorted by their first ``DEPTH`` symbols; the sorted arrays, split into buckets by suffix and written bucketed, are a
+  *segment*.  Segments are never changed.  When two segments reach the same tier (a power of two of batches) they are merged, bucket by bucket and
+  without a shuffle, into one of the next, so there are at most log2(batches) of them, and every suffix is copied log2(batches) times in all.
+  Of equal suffixes all holders stay, the earliest first.
+* *Texts* by class (equal word sets are one class), bucketed by class; *keys* (hashes of identities, responses and word sets with the earliest instant of
+  each), bucketed by key.  Both are only ever added to.
+
+To accept a batch, only the batch is shuffled, to the buckets of history.  Binary search finds, for each suffix of the batch, the range of equal ones in each
+segment.  Suffixes start at the words where the running minimum of a window over the hashes of the next ``DEPTH`` words falls (winnowing), so
+equal runs of ``DEPTH + WINDOW - 1`` words always share a start, starts in a longer run lie at most ``WINDOW`` apart, and the union of the matches that two
+texts have in common spells out their long matches.  That coverage is aggregated per pair of records as a mask of ``BLOCKS`` parts
+of the new text.  Pairs covered in at least ``LEAST_BLOCKS`` parts are checked exactly.
 """
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from siftlake.functions.words import mix
-from siftlake.session import drop_stage, stage
+from siftlake.session import drop_stage, shared_dir, stage
 
 DEPTH = 8
 WINDOW = 6
-#: A pair becomes a candidate when so many starts of the new text match (all of them, if it has fewer).
-LEAST_STARTS = 3
+#: Parts of a text whose coverage is told apart, and how many of them the matches of a candidate must touch.
+BLOCKS, LEAST_BLOCKS = 64, 8
 #: Suffixes that one bucket should hold.
 BUCKET_ROWS = 400_000
+#: Of a suffix that more texts hold, the first search meets the earliest FEW; texts left alone are searched for among all holders.
+HOLDERS, FEW = 32, 4
+#: Matches that a search holds at once.
+PIECE = 500_000
+
+SEGMENT = "bucket int, keys array<bigint>, cids array<bigint>"
+QUERY = "bucket int, q_keys array<bigint>, q_cids array<bigint>, q_masks array<bigint>"
+TEXTS = "cid bigint, at bigint, size int, p0 bigint, p1 bigint, p2 bigint, p3 bigint, words array<bigint>"
+KEYS = "key bigint, first bigint"
 
-ROWS = "bucket int, tier int, keys array<bigint>, cids array<bigint>, starts array<int>"
 
+def suffix_keys(words: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Sort keys of a text's suffixes, the first ``DEPTH`` symbols of each as signed numbers in the same order, and the parts of the text they cover.
 
-def suffix_keys(words: np.ndarray) -> np.ndarray:
-    """Sort keys of a text's suffixes: the first ``DEPTH`` symbols of each, as signed numbers in the same order."""
+    A text too short for a whole suffix has itself as the only one.
+    """
     n = len(words)
     if not n:
-        return np.empty(0, dtype=np.int64)
+        return np.empty(0, dtype=np.int64), np.empty(0, dtype=np.int64)
     symbols = (mix(words, 55) & np.uint64(255)).astype(np.uint64)
     if n < DEPTH:
         symbols = np.concatenate([symbols, np.zeros(DEPTH - n, dtype=np.uint64)])
@@ -50,129 +65,263 @@ def suffix_keys(words: np.ndarray) -> np.ndarray:
     rank = mix(keys, 56)
     if count > WINDOW:
         view = np.lib.stride_tricks.sliding_window_view(rank, WINDOW)
-        keys = keys[np.unique(view.argmin(axis=1) + np.arange(len(view)))]
+        starts = np.unique(view.argmin(axis=1) + np.arange(len(view)))
     else:
-        keys = keys[[int(rank.argmin())]]
-    return np.unique((keys ^ np.uint64(1 << 63)).view(np.int64))
+        starts = np.array([int(rank.argmin())])
+    low = starts * BLOCKS // n
+    high = np.minimum((np.minimum(starts + DEPTH, n) * BLOCKS - 1) // n, BLOCKS - 1)
+    masks = (np.uint64(2**64 - 1) >> (BLOCKS - 1 - (high - low)).astype(np.uint64)) << low.astype(np.uint64)
+    signed = (keys[starts] ^ np.uint64(1 << 63)).view(np.int64)
+    order = np.argsort(signed, kind="stable")
+    signed, masks = signed[order], masks[order]
+    first = np.flatnonzero(np.concatenate([[True], signed[1:] != signed[:-1]]))
+    return signed[first], np.bitwise_or.reduceat(masks, first).view(np.int64)
 
 
-def compact(keys: np.ndarray, cids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Sorted suffixes; of equal ones the smallest and the largest record stay."""
-    order = np.lexsort((cids, keys))
-    keys, cids = keys[order], cids[order]
-    edge = keys[1:] != keys[:-1]
-    keep = np.concatenate([[True], edge]) | np.concatenate([edge, [True]]) if len(keys) else np.empty(0, dtype=bool)
-    return keys[keep], cids[keep]
+def parities(words: np.ndarray) -> np.ndarray:
+    """256 parity bits of a word set, as four numbers; two sets differ in at least as many words as these differ in bits."""
+    hashed = mix(words, 58)
+    bits = np.zeros(4, dtype=np.uint64)
+    np.bitwise_xor.at(bits, (hashed >> np.uint64(6) & np.uint64(3)).astype(int), np.uint64(1) << (hashed & np.uint64(63)))
+    return bits.view(np.int64)
 
 
-def _row_batch(rows: list[tuple]) -> pa.RecordBatch:
-    kinds = (pa.int32(), pa.int32(), pa.list_(pa.int64()), pa.list_(pa.int64()), pa.list_(pa.int32()))
-    return pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], k) for i, k in enumerate(kinds)], names=["bucket", "tier", "keys", "cids", "starts"])
+def _lists(batch: pa.RecordBatch, name: str, row: int) -> np.ndarray:
+    value = batch.column(name)[row]
+    return np.asarray(value.values) if value.is_valid else np.empty(0, dtype=np.int64)
 
 
-def _by_bucket(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[int, list]]:
-    """Rows ``(tier, keys, cids, starts)`` of one bucket after the other; the input is sorted by bucket."""
-    bucket, rows = None, []
+def scatter(buckets: int):
+    """Texts ``(cid, keys, masks)`` as query rows, one a bucket that their suffixes fall into."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            column = batch.column(1)
+            offsets = column.offsets.to_numpy()
+            keys, masks = (c.values.to_numpy()[c.offsets[0].as_py() : c.offsets[len(c)].as_py()] for c in (column, batch.column(2)))
+            cids = np.repeat(batch.column(0).to_numpy(), np.diff(offsets))
+            place = (mix(keys, 57) % np.uint64(buckets)).astype(np.int64)
+            order = np.argsort(place, kind="stable")
+            cuts = np.searchsorted(place[order], np.arange(buckets + 1))
+            rows = [(b, keys[o], cids[o], masks[o]) for b in range(buckets) if len(o := order[cuts[b] : cuts[b + 1]])]
+            kinds = (pa.int32(), *(pa.list_(pa.int64()),) * 3)
+            yield pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], k) for i, k in enumerate(kinds)], names=["bucket", "q_keys", "q_cids", "q_masks"])
+
+    return run
+
+
+def merge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows ``(bucket, keys, cids, later_keys, later_cids)`` of two segments as rows of one; of equal suffixes the earlier segment's come first."""
     for batch in batches:
-        for i, (b, tier) in enumerate(zip(batch.column(0).to_pylist(), batch.column(1).to_pylist())):
-            if b != bucket:
-                if rows:
-                    yield bucket, rows
-                bucket, rows = b, []
-            rows.append((tier, *(np.asarray(batch.column(c)[i].values) if batch.column(c)[i].is_valid else None for c in (2, 3, 4))))
-    if rows:
-        yield bucket, rows
+        out: list[list] = [[], []]
+        for row in range(batch.num_rows):
+            keys = np.concatenate([_lists(batch, c, row) for c in ("keys", "later_keys")])
+            cids = np.concatenate([_lists(batch, c, row) for c in ("cids", "later_cids")])
+            order = np.argsort(keys, kind="stable")
+            out[0].append(keys[order])
+            out[1].append(cids[order])
+        yield pa.RecordBatch.from_arrays([batch.column("bucket"), *(pa.array(o, pa.list_(pa.int64())) for o in out)], names=["bucket", "keys", "cids"])
+
+
+def search(whole: bool):
+    """Binary search of query rows joined to a segment's rows of their bucket: ``new, other, mask``, matches summed up by pair.
+
+    Unless ``whole``, a range of more than ``HOLDERS`` gives its earliest ``FEW`` and a row without ``other``.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for row in range(batch.num_rows):
+                held, holders = _lists(batch, "keys", row), _lists(batch, "cids", row)
+                keys, cids, masks = (_lists(batch, c, row) for c in ("q_keys", "q_cids", "q_masks"))
+                first, last = np.searchsorted(held, keys, "left"), np.searchsorted(held, keys, "right")
+                times = last - first
+                hot = np.flatnonzero(times > HOLDERS) if not whole else np.empty(0, dtype=np.int64)
+                if len(hot):
+                    alone = np.unique(cids[hot])
+                    yield _matches(alone, pa.nulls(len(alone), pa.int64()), np.zeros(len(alone), dtype=np.int64))
+                    times[hot] = FEW
+                ends = np.cumsum(times)
+                low = 0
+                while low < len(keys):
+                    high = max(int(np.searchsorted(ends, (ends[low - 1] if low else 0) + PIECE, "right")), low + 1)
+                    n = times[low:high]
+                    if n.sum():
+                        at = np.repeat(first[low:high], n) + np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
+                        new, other, mask = np.repeat(cids[low:high], n), holders[at], np.repeat(masks[low:high], n)
+                        keep = np.flatnonzero(new != other)
+                        order = keep[np.lexsort((other[keep], new[keep]))]
+                        new, other, mask = new[order], other[order], mask[order]
+                        if len(new):
+                            edge = np.flatnonzero(np.concatenate([[True], (new[1:] != new[:-1]) | (other[1:] != other[:-1])]))
+                            yield _matches(new[edge], pa.array(other[edge]), np.bitwise_or.reduceat(mask, edge))
+                    low = high
+
+    return run
+
+
+def _matches(new: np.ndarray, other: pa.Array, mask: np.ndarray) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array(new), other, pa.array(mask)], names=["new", "other", "mask"])
+
+
+def exact_key(kind: str, *parts: Column) -> Column:
+    """The key of a value of some kind; null where the first part is."""
+    return F.when(parts[0].isNotNull(), F.xxhash64(F.lit(kind), *parts))
 
 
-class SuffixHistory:
-    """Segments of everything accepted so far, in the shared folder."""
+class History:
+    """Everything accepted so far, in a folder of the shared file system."""
 
-    def __init__(self, spark: SparkSession, buckets: int) -> None:
-        self.spark, self.buckets = spark, buckets
-        self.segments: list[tuple[int, DataFrame]] = []
+    def __init__(self, spark: SparkSession, buckets: int, threshold: float, folder: str | None = None) -> None:
+        self.spark, self.buckets, self.threshold = spark, buckets, threshold
+        self.folder = folder or f"{shared_dir(spark)}/history-{uuid.uuid4().hex}"
+        self.batches = 0
+        self.segments: list[tuple[int, str]] = []
+        self.names: dict[str, str] = {}
 
-    def append(self, texts: DataFrame) -> DataFrame:
-        """Accept a batch ``(cid, suffixes)``: candidates ``(new, other, matched)`` among it and all history.
+    @classmethod
+    def open(cls, spark: SparkSession, folder: str) -> History:
+        """The history that an earlier session left in a folder."""
+        last = spark.read.json(f"{folder}/manifest-*").orderBy(F.desc("batches")).first()
+        found = cls(spark, last.buckets, last.threshold, folder)
+        found.batches, found.segments = last.batches, [(s.tier, s.path) for s in last.segments or ()]
+        return found
 
-        The batch is searched for in itself and in every live segment, then becomes a segment; the texts of earlier
-        batches aren't read again.  ``other`` may be of the same batch.  An empty batch has no candidates.
+    def _table(self, path: str, ddl: str, key: str) -> DataFrame:
+        """A bucketed table by its place below the folder; it is made known to this session once."""
+        if path not in self.names:
+            name = f"t{uuid.uuid4().hex}"
+            self.spark.sql(f"CREATE TABLE {name} ({ddl}) USING parquet CLUSTERED BY ({key}) INTO {self.buckets} BUCKETS LOCATION '{self.folder}/{path}'")
+            self.names[path] = name
+        return self.spark.table(self.names[path])
+
+    def _add(self, rows: DataFrame, path: str, ddl: str, key: str, spread: bool = True) -> None:
+        """Add rows to a bucketed table, one file a bucket."""
+        self._table(path, ddl, key)
+        rows = rows.repartition(self.buckets, key) if spread else rows
+        rows.select(*self.spark.table(self.names[path]).columns).write.insertInto(self.names[path])
+
+    def _drop(self, path: str) -> None:
+        self.spark.sql(f"DROP TABLE IF EXISTS {self.names.pop(path)}")
+        place = self.spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{self.folder}/{path}")
+        place.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()).delete(place, True)
+
+    def texts(self) -> DataFrame:
+        return self._table("texts", TEXTS, "cid")
+
+    def keys(self) -> DataFrame:
+        return self._table("keys", KEYS, "key")
+
+    def segment_rows(self) -> list[DataFrame]:
+        return [self._table(path, SEGMENT, "bucket") for _, path in self.segments]
+
+    def accept(self, records: DataFrame, exact: tuple[str, ...]) -> DataFrame:
+        """Accept a batch: ``id, at`` and, for each name of ``exact`` and for ``content``, the earliest instant of what the record repeats, itself included.
+
+        ``records`` are ``id, at, <exact names>, s1, s2, size, p0 ... p3, words, keys, masks``: ``at`` counts microseconds, the exact columns are keys
+        (``exact_key``), the others describe the text and are null without one.  Batches come in the order of their instants.  Rows without ``at`` are
+        left out; rows without ``id`` only add their keys.  Earlier batches' records aren't read again, and history isn't shuffled.
         """
-        buckets = self.buckets
-
-        def scatter(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            for batch in batches:
-                if not batch.num_rows:
-                    continue
-                column = batch.column(1)
-                offsets = column.offsets.to_numpy()
-                keys = column.values.to_numpy()[offsets[0] : offsets[-1]]
-                sizes = np.diff(offsets)
-                cids, starts = np.repeat(batch.column(0).to_numpy(), sizes), np.repeat(sizes, sizes).astype(np.int32)
-                place = (mix(keys, 57) % np.uint64(buckets)).astype(np.int64)
-                order = np.argsort(place, kind="stable")
-                cuts = np.searchsorted(place[order], np.arange(buckets + 1))
-                yield _row_batch(
-                    [(b, -1, keys[o], cids[o], starts[o]) for b in range(buckets) if len(o := order[cuts[b] : cuts[b + 1]])]
-                )
-
-        raw = stage(texts.select("cid", "suffixes").mapInArrow(scatter, ROWS), "suffixes")
-        segment = self._merged([raw])
-        live = segment.unionByName(raw)
-        for _, older in self.segments:
-            live = live.unionByName(older)
-        matches = stage(self._sorted(live).mapInArrow(search, "new bigint, other bigint, starts int, matched bigint"), "matches")
-        self.segments.append((0, segment))
+        given = records.filter("at is not null").withColumn("content", exact_key("content", F.col("s1"), F.col("s2")))
+        marks = (*exact, "content")
+        own = given.select("at", F.explode(F.array(*marks)).alias("key")).filter("key is not null").groupBy("key").agg(F.min("at").alias("own"))
+        met = own.repartition(self.buckets, "key").join(self.keys(), "key", "left").groupBy("key").agg(F.min("own").alias("own"), F.min("first").alias("before"))
+        met = stage(met, "met")
+        self._add(met.select("key", F.least("own", "before").alias("first")), "keys", KEYS, "key")
+
+        described = given.filter("words is not null").select("content", "at", "s1", "size", "p0", "p1", "p2", "p3", "words", "keys", "masks")
+        first = [F.first(c).alias(c) for c in ("s1", "size", "p0", "p1", "p2", "p3", "words", "keys", "masks")]
+        classes = described.groupBy("content").agg(F.min("at").alias("at"), *first)
+        known = met.filter("before is not null").select(F.col("key").alias("content"))
+        fresh = stage(classes.join(known, "content", "left_anti").withColumn("cid", F.col("s1")), "fresh")
+        self._add(fresh, "texts", TEXTS, "cid")
+        links = self._search(fresh)
+
+        around = stage(links.groupBy("cid").agg(F.min("first").alias("around")).join(fresh.select("cid", "content"), "cid").groupBy("content").agg(F.min("around").alias("around")), "around")
+        out = given.filter("id is not null").select("id", "at", *marks)
+        for mark in marks:
+            out = out.join(met.select(F.col("key").alias(mark), F.least("own", "before").alias(f"first_{mark}")), mark, "left")
+        out = out.join(around, "content", "left").withColumn("first_content", F.least("first_content", "around"))
+        done = stage(out.select("id", "at", *(f"first_{m}" for m in marks)), "repeats")
+        for table in (met, fresh, around):
+            drop_stage(table)
+        self.batches += 1
+        self._note()
+        return done
+
+    def _search(self, fresh: DataFrame) -> DataFrame:
+        """Links ``(cid, first)`` of a batch's new texts: the instants of those in history or batch within the threshold."""
+        queries = stage(fresh.select("cid", "keys", "masks").mapInArrow(scatter(self.buckets), QUERY).repartition(self.buckets, "bucket"), "queries")
+        own = f"segment-{self.batches}-0"
+        ordered = fresh.sortWithinPartitions("at").select("cid", "keys", "masks")
+        rows = ordered.mapInArrow(scatter(self.buckets), QUERY).groupBy("bucket").agg(F.flatten(F.collect_list("q_keys")).alias("keys"), F.flatten(F.collect_list("q_cids")).alias("cids"))
+        none = F.lit(None).cast("array<bigint>")
+        sorted_ = rows.repartition(self.buckets, "bucket").withColumns({"later_keys": none, "later_cids": none}).mapInArrow(merge, SEGMENT)
+        self._add(sorted_, own, SEGMENT, "bucket", spread=False)
+        self.segments.append((0, own))
+        found, asked = [], queries
+        matches = stage(self._matched(queries, False), "matches")
+        pairs = matches.filter("other is not null")
+        links = stage(self._checked(pairs, fresh), "links")
+        found.append(links)
+        earlier = links.join(fresh.select("cid", "at"), "cid").filter("first < at").select("cid").distinct()
+        lone = matches.filter("other is null").select(F.col("new").alias("cid")).distinct().join(earlier, "cid", "left_anti")
+        again = fresh.join(lone, "cid", "left_semi").select("cid", "keys", "masks").mapInArrow(scatter(self.buckets), QUERY)
+        asked = stage(again, "queries")
+        found.append(stage(self._checked(self._matched(asked, True), fresh), "links"))
+        for table in (queries, asked, matches):
+            drop_stage(table)
+        self._merge_tiers()
+        return found[0].unionByName(found[1])
+
+    def _matched(self, queries: DataFrame, whole: bool) -> DataFrame:
+        """``new, other, mask`` over all live segments: the parts of ``new`` that its matches with ``other`` cover."""
+        at_home = queries.repartition(self.buckets, "bucket")
+        met = None
+        for segment in self.segment_rows():
+            part = at_home.join(segment, "bucket").mapInArrow(search(whole), "new bigint, other bigint, mask bigint")
+            met = part if met is None else met.unionByName(part)
+        covered = met.groupBy("new", "other").agg(F.bit_or("mask").alias("mask"))
+        return covered.filter(F.col("other").isNull() | (F.bit_count("mask") >= LEAST_BLOCKS))
+
+    def _checked(self, pairs: DataFrame, fresh: DataFrame) -> DataFrame:
+        """Links ``(cid, first)`` of candidate pairs within the threshold, exactly; parity bits rule out most pairs before their words are fetched."""
+        bits = ("size", "p0", "p1", "p2", "p3")
+        mine = fresh.select(F.col("cid").alias("new"), *(F.col(c).alias(f"n_{c}") for c in bits))
+        asked = pairs.select("new", "other").join(mine, "new").repartition(self.buckets, "other")
+        held = self.texts().select(F.col("cid").alias("other"), F.col("at").alias("first"), *bits)
+        apart = sum(F.bit_count(F.col(f"n_{c}").bitwiseXOR(F.col(c))) for c in bits[1:])
+        bound = (F.col("n_size") + F.col("size")) * ((1 - self.threshold) / (1 + self.threshold)) + 1e-6
+        near = stage(asked.join(held, "other").filter(apart <= bound).select("new", "other", "first"), "near")
+        theirs = self.texts().select(F.col("cid").alias("other"), F.col("words").alias("y"))
+        both = near.join(fresh.select(F.col("cid").alias("new"), F.col("words").alias("x")), "new").repartition(self.buckets, "other").join(theirs, "other")
+        common = F.size(F.array_intersect("x", "y"))
+        union = F.size("x") + F.size("y") - common
+        return both.filter((common / union >= self.threshold - 1e-12) | (union == 0)).select(F.col("new").alias("cid"), "first")
+
+    def _merge_tiers(self) -> None:
+        """Merge the last two segments as long as they are of one tier; both lie in the same buckets, so nothing is shuffled."""
         while len(self.segments) > 1 and self.segments[-1][0] == self.segments[-2][0]:
-            (tier, a), (_, b) = self.segments.pop(), self.segments.pop()
-            self.segments.append((tier + 1, self._merged([a, b])))
-            drop_stage(a)
-            drop_stage(b)
-        summed = matches.groupBy("new", "other").agg(F.sum("matched").alias("matched"), F.max("starts").alias("starts"))
-        return summed.filter(F.col("matched") >= F.least(F.lit(LEAST_STARTS), F.col("starts"))).select("new", "other", "matched")
-
-    def _sorted(self, rows: DataFrame) -> DataFrame:
-        return rows.repartition(self.buckets, "bucket").sortWithinPartitions("bucket")
-
-    def _merged(self, parts: list[DataFrame]) -> DataFrame:
-        """A new segment of the suffixes of others."""
-        rows = parts[0]
-        for part in parts[1:]:
-            rows = rows.unionByName(part)
-
-        def merge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            for bucket, own in _by_bucket(batches):
-                keys, cids = compact(np.concatenate([r[1] for r in own]), np.concatenate([r[2] for r in own]))
-                yield _row_batch([(bucket, 0, keys, cids, None)])
-
-        return stage(self._sorted(rows).mapInArrow(merge, ROWS), "segment")
-
-
-def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Binary search of a batch's suffixes (tier -1) in the segments of a bucket; matches summed by pair."""
-    for _, rows in _by_bucket(batches):
-        queries = [r for r in rows if r[0] < 0]
-        if not queries:
-            continue
-        keys, cids, starts = (np.concatenate([q[i] for q in queries]) for i in (1, 2, 3))
-        new, other, size = [], [], []
-        for tier, held, holders, _ in rows:
-            if tier < 0 or not len(held):
-                continue
-            first, last = np.searchsorted(held, keys, "left"), np.searchsorted(held, keys, "right")
-            for at in (first, last - 1):
-                hit = np.flatnonzero((last > first) & (holders[np.minimum(at, len(held) - 1)] != cids))
-                hit = hit if at is first else hit[(last - first)[hit] > 1]
-                new.append(cids[hit])
-                other.append(holders[at[hit]])
-                size.append(starts[hit])
-        if not new:
-            continue
-        new, other, size = np.concatenate(new), np.concatenate(other), np.concatenate(size)
-        order = np.lexsort((other, new))
-        new, other, size = new[order], other[order], size[order]
-        at = np.flatnonzero(np.concatenate([[True], (new[1:] != new[:-1]) | (other[1:] != other[:-1])])) if len(new) else np.empty(0, dtype=np.int64)
-        times = np.diff(np.append(at, len(new)))
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(new[at]), pa.array(other[at]), pa.array(size[at].astype(np.int32)), pa.array(times.astype(np.int64))],
-            names=["new", "other", "starts", "matched"],
-        )
+            (tier, later), (_, earlier) = self.segments.pop(), self.segments.pop()
+            a, b = self._table(earlier, SEGMENT, "bucket"), self._table(later, SEGMENT, "bucket")
+            both = a.join(b.select("bucket", F.col("keys").alias("later_keys"), F.col("cids").alias("later_cids")), "bucket", "full")
+            path = f"segment-{self.batches}-{tier + 1}"
+            self._add(both.mapInArrow(merge, SEGMENT), path, SEGMENT, "bucket", spread=False)
+            self.segments.append((tier + 1, path))
+            self._drop(earlier)
+            self._drop(later)
+
+    def _note(self) -> None:
+        """Write the manifest of the state after a batch; the one with the most batches holds."""
+        rows = [(self.batches, self.buckets, self.threshold, [(t, p) for t, p in self.segments])]
+        note = self.spark.createDataFrame(rows, "batches int, buckets int, threshold double, segments array<struct<tier int, path string>>")
+        note.coalesce(1).write.mode("overwrite").json(f"{self.folder}/manifest-{self.batches}")
+
+    def forget(self) -> None:
+        """Delete the history with all its files."""
+        for path in list(self.names):
+            self._drop(path)
+        place = self.spark.sparkContext._jvm.org.apache.hadoop.fs.Path(self.folder)
+        place.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()).delete(place, True)

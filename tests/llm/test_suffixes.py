@@ -58,40 +58,111 @@ def test_edited_copies_find_their_earlier_relatives(spark, tmp_path):
     assert {r[0] for r in p2.p2_found(spark, str(tmp_path)).collect()} == expected
 
 
-def _texts(spark, rows):
-    return spark.createDataFrame([(i, suffixes.suffix_keys(codes(t)).tolist()) for i, t in rows], "cid bigint, suffixes array<bigint>")
+def _records(spark, rows, start=0):
+    """Texts as records of a batch; their instants rise in order."""
+    raw = spark.createDataFrame([(f"r{i}", "", json.dumps({"abstract": t}), start + k) for k, (i, t) in enumerate(rows)], "id string, title string, raw_json string, at bigint")
+    return p2.described(raw, ("at",))
 
 
-def test_history_merges_logarithmically(spark):
-    history = suffixes.SuffixHistory(spark, 4)
-    sentence = "the quick brown fox jumps over the lazy dog while seven wizards watch from a distant tower at noon"
-    found = []
-    for batch in range(9):
-        rows = [(batch * 10, f"{sentence} record {batch}"), (batch * 10 + 1, " ".join(f"u{batch}x{i}" for i in range(40)))]
-        found += [tuple(r)[:2] for r in history.append(_texts(spark, rows)).collect()]
-        assert [t for t, _ in history.segments] == [i for i in range(10) if (batch + 1) >> i & 1][::-1]
-    assert all({new % 10, other % 10} == {0} for new, other in found)
-    assert {new for new, _ in found} >= {10 * b for b in range(1, 9)}
+def _repeats(history, rows, start=0):
+    found = history.accept(_records(history.spark, rows, start), ()).collect()
+    return {r.id for r in found if r.first_content < r.at}
+
+
+SENTENCE = "the quick brown fox jumps over the lazy dog while seven wizards watch from a distant tower at noon"
 
 
-def test_hot_wording_stays_linear(spark):
-    text = " ".join(f"w{i}" for i in range(60))
-    history = suffixes.SuffixHistory(spark, 4)
-    history.append(_texts(spark, [(i, text) for i in range(300)]))
-    assert history.append(_texts(spark, [(i, text) for i in range(300, 600)])).count() <= 4 * 300
+def test_history_merges_logarithmically(spark):
+    history = suffixes.History(spark, 4, 0.7)
+    found = set()
+    for batch in range(5):
+        rows = [(batch * 10, f"{SENTENCE} record {batch}"), (batch * 10 + 1, " ".join(f"u{batch}x{i}" for i in range(40)))]
+        found |= _repeats(history, rows, 100 * batch)
+        assert [t for t, _ in history.segments] == [i for i in range(10) if (batch + 1) >> i & 1][::-1]
+    assert found == {f"r{10 * b}" for b in range(1, 5)}
+    history.forget()
+
+
+def test_history_outlives_the_session(spark):
+    first = suffixes.History(spark, 4, 0.7)
+    _repeats(first, [(1, f"{SENTENCE} one")])
+    _repeats(first, [(2, " ".join(f"v{i}" for i in range(60)))], 10)
+    again = suffixes.History.open(spark, first.folder)
+    assert (again.batches, again.segments, again.buckets) == (2, first.segments, 4)
+    assert _repeats(again, [(3, f"{SENTENCE} three"), (4, "something else altogether"), (5, " ".join(f"v{i}" for i in range(60)))], 20) == {"r3", "r5"}
+    assert suffixes.History.open(spark, first.folder).batches == 3
+
+
+def test_every_holder_is_reached(spark):
+    """B's suffixes are held by four others, none of which is near to it; the edited B is found all the same."""
+    part = lambda name, n: " ".join(f"{name}{i}" for i in range(n))
+    x, y = part("x", 120), part("y", 120)
+    history = suffixes.History(spark, 4, 0.7)
+    texts = [f"{x} {part('p', 90)}", f"{y} {part('q', 90)}", f"{x} {y}", f"{x} {part('s', 90)}", f"{y} {part('t', 90)}"]
+    for i, text in enumerate(texts):
+        assert not _repeats(history, [(i, text)], i)
+    assert _repeats(history, [(9, f"{x} {y}".replace("x5 ", "edit1 ").replace("y77 ", "edit2 "))], 50) == {"r9"}
+
+
+def test_hot_wording_reaches_late_holders(spark, monkeypatch):
+    """Wording that more texts hold than the first search lists: the one relative among them is the last."""
+    monkeypatch.setattr(suffixes, "HOLDERS", 2)
+    monkeypatch.setattr(suffixes, "FEW", 1)
+    part = lambda name, n: " ".join(f"{name}{i}" for i in range(n))
+    common = part("c", 40)
+    history = suffixes.History(spark, 4, 0.7)
+    _repeats(history, [(i, f"{common} {part(f'own{i}w', 60)}") for i in range(20)])
+    near = " ".join(w if k % 7 else f"new{k}" for k, w in enumerate(part("own19w", 60).split()))
+    assert _repeats(history, [(50, f"{common} {near}")], 100) == {"r50"}
+    assert _repeats(history, [(60, f"{common} {part('fresh', 60)}")], 200) == set()
+
+
+def _exchanged(frame):
+    plan = frame._jdf.queryExecution().executedPlan().toString()
+    return [line for line in plan.splitlines() if "Exchange" in line]
+
+
+def test_history_is_not_shuffled(spark):
+    history = suffixes.History(spark, 4, 0.7)
+    for batch in range(3):
+        _repeats(history, [(100 * batch + i, " ".join(f"b{batch}t{i}w{k}" for k in range(50))) for i in range(50)], 1000 * batch)
+    queries = spark.createDataFrame([(1, [1], [2], [3])], suffixes.QUERY)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        for segment in history.segment_rows():
+            plan = queries.repartition(4, "bucket").join(segment, "bucket")
+            assert len(_exchanged(plan)) == 1  # the batch's own
+        for held, key in ((history.texts(), "cid"), (history.keys(), "key")):
+            asked = spark.createDataFrame([(1,)], f"{key} bigint").repartition(4, key)
+            assert len(_exchanged(asked.join(held, key))) == 1
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
 
 
 def test_suffix_cases(spark):
-    assert len(suffixes.suffix_keys(codes(None))) == 0
-    assert len(suffixes.suffix_keys(codes("one two"))) == 1
-    assert len(suffixes.suffix_keys(codes(" ".join(map(str, range(200_000)))))) > 10_000
+    keys = lambda text: suffixes.suffix_keys(codes(text))[0]
+    assert len(keys(None)) == 0
+    assert len(keys("one two")) == 1 and suffixes.suffix_keys(codes("one two"))[1].tolist() == [-1]
+    assert len(keys(" ".join(map(str, range(200_000))))) > 10_000
     run = [f"s{i}" for i in range(suffixes.DEPTH + suffixes.WINDOW - 1)]
-    a = suffixes.suffix_keys(codes(" ".join([f"a{i}" for i in range(50)] + run + [f"b{i}" for i in range(50)])))
-    b = suffixes.suffix_keys(codes(" ".join([f"c{i}" for i in range(31)] + run + [f"d{i}" for i in range(9)])))
+    a = keys(" ".join([f"a{i}" for i in range(50)] + run + [f"b{i}" for i in range(50)]))
+    b = keys(" ".join([f"c{i}" for i in range(31)] + run + [f"d{i}" for i in range(9)]))
     assert len(np.intersect1d(a, b)) >= 1
-    assert suffixes.SuffixHistory(spark, 2).append(_texts(spark, [])).count() == 0
-
-
-def test_compact_keeps_ends():
-    keys, cids = suffixes.compact(np.array([5, 5, 5, 1, 9, 9]), np.array([3, 1, 2, 7, 4, 4]))
-    assert keys.tolist() == [1, 5, 5, 9, 9] and cids.tolist() == [7, 1, 3, 4, 4]
+    own, masks = suffixes.suffix_keys(codes(" ".join(f"w{i}" for i in range(64))))
+    assert all(int(m).bit_count() == suffixes.DEPTH for m in masks.view(np.uint64)) and int(np.bitwise_or.reduce(masks).view(np.uint64)).bit_count() > 50
+    assert suffixes.History(spark, 2, 0.7).accept(_records(spark, []), ()).count() == 0
+
+
+def test_bounded_pieces_find_the_same(monkeypatch):
+    import pyarrow as pa
+
+    rng = np.random.default_rng(3)
+    held, asked = np.sort(rng.integers(0, 40, 300)), rng.integers(0, 40, 60)
+    names = ["bucket", "q_keys", "q_cids", "q_masks", "keys", "cids"]
+    cell = lambda v: pa.array([v], pa.list_(pa.int64()))
+    batch = pa.RecordBatch.from_arrays([pa.array([0], pa.int32()), cell(asked), cell(np.arange(60) % 9), cell(np.ones(60, dtype=np.int64)), cell(held), cell(np.arange(300) % 50 + 100)], names=names)
+    pairs = lambda: {t for b in suffixes.search(True)(iter([batch])) for t in zip(b.column(0).to_pylist(), b.column(1).to_pylist())}
+    expected = {(int(q % 9), int(h % 50 + 100)) for q in range(60) for h in range(300) if asked[q] == held[h]}
+    assert pairs() == expected
+    monkeypatch.setattr(suffixes, "PIECE", 7)
+    assert pairs() == expected
