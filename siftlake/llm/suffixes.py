@@ -15,6 +15,11 @@ segment.  Suffixes start at the words where the running minimum of a window over
 equal runs of ``DEPTH + WINDOW - 1`` words always share a start, starts in a longer run lie at most ``WINDOW`` apart, and the union of the matches that two
 texts have in common spells out their long matches.  That coverage is aggregated per pair of records as a mask of ``BLOCKS`` parts
 of the new text.  Pairs covered in at least ``LEAST_BLOCKS`` parts are checked exactly.
+
+Common wording has long ranges, and listing them would pair everything with everything.  Ranges beyond ``HOLDERS`` give their earliest ``FEW`` holders and stay
+*open*; what they cover of a new text counts for each of its pairs, so no pair is missed that has a listed suffix.  A text that nothing earlier was found for and
+whose open ranges cover enough by themselves is searched for again among all holders, without its most held suffixes as long as those together cover too little to
+make a pair.
 """
 
 from __future__ import annotations
@@ -25,6 +30,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from siftlake.functions.words import mix
@@ -33,16 +39,17 @@ from siftlake.session import drop_stage, shared_dir, stage
 DEPTH = 8
 WINDOW = 6
 #: Parts of a text whose coverage is told apart, and how many of them the matches of a candidate must touch.
-BLOCKS, LEAST_BLOCKS = 64, 8
+BLOCKS, LEAST_BLOCKS = 64, 16
 #: Suffixes that one bucket should hold.
 BUCKET_ROWS = 400_000
-#: Of a suffix that more texts hold, the first search meets the earliest FEW; texts left alone are searched for among all holders.
-HOLDERS, FEW = 32, 4
+#: A range of more than HOLDERS is open: the first search lists its earliest FEW.
+HOLDERS, FEW = 16, 2
 #: Matches that a search holds at once.
 PIECE = 500_000
 
 SEGMENT = "bucket int, keys array<bigint>, cids array<bigint>"
 QUERY = "bucket int, q_keys array<bigint>, q_cids array<bigint>, q_masks array<bigint>"
+FOUND = "new bigint, other bigint, mask bigint, key bigint, times bigint"
 TEXTS = "cid bigint, at bigint, size int, p0 bigint, p1 bigint, p2 bigint, p3 bigint, words array<bigint>"
 KEYS = "key bigint, first bigint"
 
@@ -128,7 +135,7 @@ def merge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def search(whole: bool):
     """Binary search of query rows joined to a segment's rows of their bucket: ``new, other, mask``, matches summed up by pair.
 
-    Unless ``whole``, a range of more than ``HOLDERS`` gives its earliest ``FEW`` and a row without ``other``.
+    Unless ``whole``, a range of more than ``HOLDERS`` gives its earliest ``FEW`` and a row without ``other`` but with ``key`` and ``times``.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -140,8 +147,7 @@ def search(whole: bool):
                 times = last - first
                 hot = np.flatnonzero(times > HOLDERS) if not whole else np.empty(0, dtype=np.int64)
                 if len(hot):
-                    alone = np.unique(cids[hot])
-                    yield _matches(alone, pa.nulls(len(alone), pa.int64()), np.zeros(len(alone), dtype=np.int64))
+                    yield _matches(cids[hot], None, masks[hot], keys[hot], times[hot].copy())
                     times[hot] = FEW
                 ends = np.cumsum(times)
                 low = 0
@@ -156,14 +162,15 @@ def search(whole: bool):
                         new, other, mask = new[order], other[order], mask[order]
                         if len(new):
                             edge = np.flatnonzero(np.concatenate([[True], (new[1:] != new[:-1]) | (other[1:] != other[:-1])]))
-                            yield _matches(new[edge], pa.array(other[edge]), np.bitwise_or.reduceat(mask, edge))
+                            yield _matches(new[edge], other[edge], np.bitwise_or.reduceat(mask, edge), None, None)
                     low = high
 
     return run
 
 
-def _matches(new: np.ndarray, other: pa.Array, mask: np.ndarray) -> pa.RecordBatch:
-    return pa.RecordBatch.from_arrays([pa.array(new), other, pa.array(mask)], names=["new", "other", "mask"])
+def _matches(*columns: np.ndarray | None) -> pa.RecordBatch:
+    length = len(columns[0])
+    return pa.RecordBatch.from_arrays([pa.nulls(length, pa.int64()) if c is None else pa.array(c) for c in columns], names=["new", "other", "mask", "key", "times"])
 
 
 def exact_key(kind: str, *parts: Column) -> Column:
@@ -226,26 +233,28 @@ class History:
         """
         given = records.filter("at is not null").withColumn("content", exact_key("content", F.col("s1"), F.col("s2")))
         marks = (*exact, "content")
-        own = given.select("at", F.explode(F.array(*marks)).alias("key")).filter("key is not null").groupBy("key").agg(F.min("at").alias("own"))
+        stated = given.select("id", "at", F.posexplode(F.array(*marks)).alias("mark", "key")).filter("key is not null")
+        own = stated.groupBy("key").agg(F.min("at").alias("own"))
         met = own.repartition(self.buckets, "key").join(self.keys(), "key", "left").groupBy("key").agg(F.min("own").alias("own"), F.min("first").alias("before"))
         met = stage(met, "met")
         self._add(met.select("key", F.least("own", "before").alias("first")), "keys", KEYS, "key")
 
-        described = given.filter("words is not null").select("content", "at", "s1", "size", "p0", "p1", "p2", "p3", "words", "keys", "masks")
-        first = [F.first(c).alias(c) for c in ("s1", "size", "p0", "p1", "p2", "p3", "words", "keys", "masks")]
-        classes = described.groupBy("content").agg(F.min("at").alias("at"), *first)
+        # The new classes, each by its record with the smallest id; a row that was delivered twice may stand twice, which adds nothing below.
+        said = given.filter("words is not null and id is not null")
+        classes = said.groupBy("content").agg(F.min("at").alias("first"), F.min("id").alias("id"))
         known = met.filter("before is not null").select(F.col("key").alias("content"))
-        fresh = stage(classes.join(known, "content", "left_anti").withColumn("cid", F.col("s1")), "fresh")
+        fresh = said.drop("at").join(classes.join(known, "content", "left_anti").select("id", F.col("first").alias("at")), "id").withColumn("cid", F.col("s1"))
+        fresh = stage(fresh.select("content", "cid", "at", "size", "p0", "p1", "p2", "p3", "words", "keys", "masks"), "fresh")
         self._add(fresh, "texts", TEXTS, "cid")
         links = self._search(fresh)
 
-        around = stage(links.groupBy("cid").agg(F.min("first").alias("around")).join(fresh.select("cid", "content"), "cid").groupBy("content").agg(F.min("around").alias("around")), "around")
-        out = given.filter("id is not null").select("id", "at", *marks)
-        for mark in marks:
-            out = out.join(met.select(F.col("key").alias(mark), F.least("own", "before").alias(f"first_{mark}")), mark, "left")
-        out = out.join(around, "content", "left").withColumn("first_content", F.least("first_content", "around"))
-        done = stage(out.select("id", "at", *(f"first_{m}" for m in marks)), "repeats")
-        for table in (met, fresh, around):
+        around = links.join(fresh.select("cid", F.col("content").alias("key")).distinct(), "cid").groupBy("key").agg(F.min("first").alias("around"))
+        firsts = met.join(around, "key", "left").select("key", F.least("own", "before", "around").alias("first"))
+        hits = stated.filter("id is not null").join(firsts, "key").select("id", "at", "mark", "first")
+        every = hits.unionByName(given.filter("id is not null").select("id", "at", F.lit(None).cast("int").alias("mark"), F.lit(None).cast("bigint").alias("first")))
+        told = [F.min(F.when(F.col("mark") == k, F.col("first"))).alias(f"first_{m}") for k, m in enumerate(marks)]
+        done = stage(every.groupBy("id", "at").agg(*told), "repeats")
+        for table in (met, fresh):
             drop_stage(table)
         self.batches += 1
         self._note()
@@ -261,30 +270,41 @@ class History:
         sorted_ = rows.repartition(self.buckets, "bucket").withColumns({"later_keys": none, "later_cids": none}).mapInArrow(merge, SEGMENT)
         self._add(sorted_, own, SEGMENT, "bucket", spread=False)
         self.segments.append((0, own))
-        found, asked = [], queries
-        matches = stage(self._matched(queries, False), "matches")
-        pairs = matches.filter("other is not null")
-        links = stage(self._checked(pairs, fresh), "links")
-        found.append(links)
-        earlier = links.join(fresh.select("cid", "at"), "cid").filter("first < at").select("cid").distinct()
-        lone = matches.filter("other is null").select(F.col("new").alias("cid")).distinct().join(earlier, "cid", "left_anti")
-        again = fresh.join(lone, "cid", "left_semi").select("cid", "keys", "masks").mapInArrow(scatter(self.buckets), QUERY)
-        asked = stage(again, "queries")
-        found.append(stage(self._checked(self._matched(asked, True), fresh), "links"))
-        for table in (queries, asked, matches):
+        matches = stage(self._matched(queries), "matches")
+        links = stage(self._checked(matches.filter("other is not null").select("new", "other"), fresh), "links")
+        earlier = links.join(fresh.select("cid", "at"), "cid").filter("first < at").select(F.col("cid").alias("new")).distinct()
+        again = stage(self._unlisted(matches.filter("other is null").join(earlier, "new", "left_anti")).mapInArrow(scatter(self.buckets), QUERY), "queries")
+        more = self._found(again, True).filter("other is not null").select("new", "other").distinct()
+        rest = stage(self._checked(more, fresh), "links")
+        for table in (queries, again, matches):
             drop_stage(table)
         self._merge_tiers()
-        return found[0].unionByName(found[1])
+        return links.unionByName(rest)
 
-    def _matched(self, queries: DataFrame, whole: bool) -> DataFrame:
-        """``new, other, mask`` over all live segments: the parts of ``new`` that its matches with ``other`` cover."""
+    def _found(self, queries: DataFrame, whole: bool) -> DataFrame:
+        """What the binary search finds in all live segments; the queries alone are shuffled."""
         at_home = queries.repartition(self.buckets, "bucket")
         met = None
         for segment in self.segment_rows():
-            part = at_home.join(segment, "bucket").mapInArrow(search(whole), "new bigint, other bigint, mask bigint")
+            part = at_home.join(segment, "bucket").mapInArrow(search(whole), FOUND)
             met = part if met is None else met.unionByName(part)
-        covered = met.groupBy("new", "other").agg(F.bit_or("mask").alias("mask"))
-        return covered.filter(F.col("other").isNull() | (F.bit_count("mask") >= LEAST_BLOCKS))
+        return met
+
+    def _matched(self, queries: DataFrame) -> DataFrame:
+        """Candidate pairs ``new, other`` and, without ``other``, the open suffixes (``key, times, mask``) of texts whose open ranges cover enough by themselves."""
+        rows = self._found(queries, False).repartition("new").groupBy("new", "other", "key").agg(F.bit_or("mask").alias("mask"), F.sum("times").alias("times"))
+        open_ = F.coalesce(F.bit_or(F.when(F.col("other").isNull(), F.col("mask"))).over(W.partitionBy("new")), F.lit(0).cast("bigint"))
+        covered = rows.withColumn("open", open_).filter(F.bit_count(F.col("mask").bitwiseOR(F.col("open"))) >= LEAST_BLOCKS)
+        return covered.select("new", "other", "key", "times", "mask")
+
+    def _unlisted(self, open_: DataFrame) -> DataFrame:
+        """Texts ``cid, keys, masks`` with the open suffixes to search for among all holders.
+
+        A pair covered enough isn't covered by the most held suffixes alone as long as these together cover too little.
+        """
+        so_far = W.partitionBy("new").orderBy(F.desc("times"), "key").rowsBetween(W.unboundedPreceding, 0)
+        asked = open_.withColumn("covered", F.bit_or("mask").over(so_far)).filter(F.bit_count("covered") >= LEAST_BLOCKS)
+        return asked.groupBy(F.col("new").alias("cid")).agg(F.collect_list("key").alias("keys"), F.collect_list("mask").alias("masks"))
 
     def _checked(self, pairs: DataFrame, fresh: DataFrame) -> DataFrame:
         """Links ``(cid, first)`` of candidate pairs within the threshold, exactly; parity bits rule out most pairs before their words are fetched."""

