@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from siftlake.functions import normalise as N
+from siftlake.functions.records import record_fields
 from siftlake.operators.components import connected_components
 from siftlake.operators.nested import provider_key
 
@@ -17,7 +18,7 @@ from siftlake.operators.nested import provider_key
 PREFERENCE = ("europe_pmc", "pubmed", "clinical_trials", "semantic_scholar", "openalex", "crossref", "unpaywall", "elicit", "local_file")
 LEAST_TITLE = 20
 FUZZY = 0.94
-RAW = "abstract string, authors array<string>, venue string, urls array<string>, isOpenAccess string, isRetracted string, pmcid string, publicationTypes array<string>"
+RAW = "abstract string, venue string, isOpenAccess string, doi string, pmid string, nctId string, year string"
 
 
 def canonical_records(records: DataFrame, acquisitions: DataFrame) -> DataFrame:
@@ -29,21 +30,19 @@ def canonical_records(records: DataFrame, acquisitions: DataFrame) -> DataFrame:
         F.col("id").alias("acquisition_id"), provider_key(F.col("provider")).alias("provider"), "endpoint", "observed_at",
         F.get_json_object("request_json", "$.query").alias("query"), F.get_json_object("request_json", "$.maxResults").cast("int").alias("max_results"),
     ).dropDuplicates(["acquisition_id"])
-    raw = F.from_json("raw_json", RAW)
-    flat = records.dropDuplicates(["id"]).withColumn("raw", raw).join(batch, "acquisition_id")
-    doi, pmid = N.normalise_doi(F.col("doi")), N.normalise_identifier(F.regexp_replace("pmid", "(?i)^pmid:\\s*", ""), N.PMID)
-    urls = F.coalesce(N.https_urls(F.col("raw.urls")), F.array().cast("array<string>"))
-    types = F.coalesce(F.col("raw.publicationTypes"), F.array().cast("array<string>"))
-    pmcid = N.normalise_identifier(F.col("raw.pmcid"), N.PMCID, upper=True)
+    flat = records.dropDuplicates(["id"]).withColumn("raw", F.from_json("raw_json", RAW)).withColumn("told", record_fields("raw_json")).join(batch, "acquisition_id")
+    own = lambda column, field: F.coalesce(F.when(F.trim(F.col(column).cast("string")) != "", F.col(column).cast("string")), F.col(f"raw.{field}"))
+    doi, pmid = N.normalise_doi(own("doi", "doi")), N.normalise_identifier(F.regexp_replace(own("pmid", "pmid"), "(?i)^pmid:\\s*", ""), N.PMID)
+    urls, types = F.col("told.urls"), F.col("told.publication_types")
+    pmcid = N.normalise_identifier(F.col("told.pmcid"), N.PMCID, upper=True)
     return flat.select(
         F.col("id").alias("source_record_id"), "acquisition_id", "provider", "endpoint", "kind", "query", "max_results", "observed_at",
         N.normalise_text(F.col("title")).alias("title"), N.normalise_title(F.col("title")).alias("normalised_title"),
-        N.normalise_text(F.col("raw.abstract")).alias("abstract"), N.normalise_year(F.col("year")).alias("year"), doi.alias("doi"), pmid.alias("pmid"), pmcid.alias("pmcid"),
-        N.normalise_identifier(F.col("nct_id"), N.NCT, upper=True).alias("nct_id"),
-        F.coalesce(F.filter(F.transform("raw.authors", lambda a: F.trim(a)), lambda a: a != ""), F.array().cast("array<string>")).alias("authors"),
+        N.normalise_text(F.col("raw.abstract")).alias("abstract"), N.normalise_year(own("year", "year")).alias("year"), doi.alias("doi"), pmid.alias("pmid"), pmcid.alias("pmcid"),
+        N.normalise_identifier(own("nct_id", "nctId"), N.NCT, upper=True).alias("nct_id"), F.col("told.authors").alias("authors"),
         F.col("raw.venue").alias("venue"), urls.alias("urls"), types.alias("publication_types"),
         N.open_access(pmcid, F.col("raw.isOpenAccess"), urls).alias("open_access_candidate"),
-        N.retracted(F.col("raw.isRetracted"), F.col("title"), types).alias("retracted"), "retrieved_at", "raw_sha256",
+        N.retracted(N.retraction_flags(F.col("raw_json")), F.col("title"), types).alias("retracted"), "retrieved_at", "raw_sha256",
     )
 
 
@@ -98,6 +97,7 @@ def golden_records(records: DataFrame, components: DataFrame) -> DataFrame:
         union("provider", "providers"), union("source_record_id", "source_record_ids"), flat_union("urls"), flat_union("publication_types"),
         F.bool_or("open_access_candidate").alias("open_access_candidate"), F.bool_or("retracted").alias("retracted"),
         F.min_by("source_record_id", rank).alias("preferred_source_record_id"), F.count("*").alias("retrieval_record_count"),
+        *(F.bool_and(c).alias(c) for c in ("negative_control",) if c in records.columns), *(F.bool_or(c).alias(c) for c in ("compiled",) if c in records.columns),
         *(union(c, f"{c}_set") for c in ("doi", "pmid", "pmcid", "nct_id")),
     )
     identity = F.coalesce(

@@ -6,9 +6,13 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from siftlake.functions.normalise import clean_abstract
+from siftlake.session import stage
+
+#: Place of each design in the reading queue.
 PRIORITY = {
-    "guideline": 10, "systematic_review": 20, "meta_analysis": 20, "randomised_controlled_trial": 30, "controlled_trial": 40, "clinical_trial": 40,
-    "cohort": 50, "case_control": 50, "case_series": 60, "nonsystematic_review": 70, "protocol": 80, "primary_or_other": 80,
+    "guideline": 10, "systematic_review": 20, "meta_analysis": 20, "randomized_controlled_trial": 30, "controlled_trial": 40, "clinical_trial": 40,
+    "cohort_or_longitudinal": 50, "case_control": 50, "case_series": 60, "nonsystematic_review": 70, "protocol": 80, "primary_or_other": 80,
 }
 
 
@@ -21,7 +25,7 @@ def abstract_queue(groups: DataFrame) -> DataFrame:
     routes = F.array_compact(
         F.array(
             F.when(F.col("pmid").isNotNull(), F.struct(F.lit(10).alias("priority"), F.lit("pubmed").alias("route"), F.col("pmid").alias("value"))),
-            F.when(F.col("pmid").isNotNull() | F.col("doi").isNotNull(), F.struct(F.lit(20).alias("priority"), F.lit("europe_pmc").alias("route"), F.coalesce("pmid", "doi").alias("value"))),
+            F.when(F.col("pmcid").isNotNull(), F.struct(F.lit(20).alias("priority"), F.lit("europe_pmc").alias("route"), F.col("pmcid").alias("value"))),
             F.when(F.col("doi").isNotNull(), F.struct(F.lit(30).alias("priority"), F.lit("crossref_or_openalex").alias("route"), F.col("doi").alias("value"))),
         )
     )
@@ -35,7 +39,8 @@ def id_batches(ids: DataFrame, column: str, size: int = 200) -> DataFrame:
     Ranks within a range partition plus the counts of the partitions before give the global order without a single task.
     """
     ranged = ids.select(F.col(column).cast("bigint").alias("n")).filter("n is not null").distinct().repartitionByRange("n").sortWithinPartitions("n")
-    part = ranged.withColumn("p", F.spark_partition_id())
+    # Staged, so that the partition numbers are those of one run, whatever the plans below make of it.
+    part = stage(ranged.withColumn("p", F.spark_partition_id()), "ranged")
     counts = part.groupBy("p").count().withColumn("before", F.coalesce(F.sum("count").over(W.orderBy("p").rowsBetween(W.unboundedPreceding, -1)), F.lit(0)))
     ranked = part.withColumn("r", F.row_number().over(W.partitionBy("p").orderBy("n")))
     return ranked.join(F.broadcast(counts.select("p", "before")), "p").select(F.col("n").alias(column), F.floor((F.col("before") + F.col("r") - 1) / size).cast("int").alias("batch"))
@@ -125,21 +130,24 @@ def is_saturated(report: DataFrame) -> DataFrame:
     return last.select(F.size("s").alias("comparisons"), F.coalesce((F.size("s") >= 2) & F.try_element_at("s", F.lit(-1))["passes"] & F.try_element_at("s", F.lit(-2))["passes"], F.lit(False)).alias("saturated"))
 
 
-def gates(row: DataFrame, conditions: dict[str, Column], in_order: bool) -> DataFrame:
-    """One row of named gates: each boolean (null counts as failed), the failed ones and whether all hold.
+def gates(row: DataFrame, conditions: dict[str, Column], in_order: bool, by: tuple[str, ...] = ()) -> DataFrame:
+    """Named gates of each row, beside its keys ``by``: each boolean (null counts as failed), the failed ones and whether all hold.
 
     Failed gates keep the order of declaration, or are sorted.  Authority is never granted.
     """
     flags = {name: F.coalesce(c, F.lit(False)) for name, c in conditions.items()}
     failed = F.array_compact(F.array(*(F.when(~c, name) for name, c in flags.items())))
-    told = row.select(*(c.alias(n) for n, c in flags.items()), (failed if in_order else F.array_sort(failed)).alias("failed_gates"))
+    told = row.select(*by, *(c.alias(n) for n, c in flags.items()), (failed if in_order else F.array_sort(failed)).alias("failed_gates"))
     return told.withColumn("ready", F.size("failed_gates") == 0).withColumn("recommendation_authority", F.lit(False)).withColumn("ready_for_execution", F.lit(False))
 
 
-def appraisal_gates(appraisals: DataFrame, contradictions_addressed: bool, clinician_reviewed: bool) -> DataFrame:
-    """The twelve gates of a candidate over its appraisals; all of them fail on no appraisals."""
+def appraisal_gates(appraisals: DataFrame, contradictions_addressed: bool, clinician_reviewed: bool, by: tuple[str, ...] = ()) -> DataFrame:
+    """The twelve gates of each candidate over its appraisals (one candidate unless ``by`` names its keys); all of them fail on no appraisals.
+
+    Every aggregate combines before the shuffle; the set of directions holds a few words.
+    """
     every = lambda c: F.bool_and(c)
-    one = appraisals.agg(
+    one = appraisals.groupBy(*by).agg(
         F.count("*").alias("n"), F.count_distinct("study_id").alias("studies"), every(F.col("human_verified")).alias("verified"), every(F.col("full_text_verified")).alias("full"),
         every(F.col("retraction_status") == "clear").alias("clear"), every(F.col("harms_assessed")).alias("harms"), every(F.col("conflicts_assessed")).alias("conflicts"),
         every(F.col("applicability").isin("direct", "partial")).alias("applicable"), every(F.col("effect_estimate").isNotNull() & F.col("confidence_interval").isNotNull()).alias("effects"),
@@ -158,4 +166,57 @@ def appraisal_gates(appraisals: DataFrame, contradictions_addressed: bool, clini
             "clinical_review_complete": F.lit(clinician_reviewed),
         },
         True,
+        by,
+    )
+
+
+def set_equal(left: Column, right: Column) -> Column:
+    """Whether two arrays hold the same values."""
+    return (F.size(F.array_except(left, right)) == 0) & (F.size(F.array_except(right, left)) == 0)
+
+
+def is_subset(part: Column, whole: Column) -> Column:
+    """Whether all values of an array stand in another; an empty one is in any, a null one in none."""
+    return F.coalesce(F.size(F.array_except(part, whole)) == 0, F.lit(False))
+
+
+def screening_rows(groups: DataFrame, proposals: DataFrame, features: DataFrame, decisions: DataFrame) -> DataFrame:
+    """The wide review row of each group: proposal, concepts and reasons as piped lists, the hash of its cleaned abstract, and the decision if there is one.
+
+    A group without proposal or features has none of theirs (nulls); undecided groups have empty decisions.
+    """
+    text = F.coalesce(clean_abstract(F.col("abstract")), F.lit(""))
+    piped = lambda c: F.coalesce(F.array_join(c, "|"), F.lit(""))
+    own = groups.select("group_id", "title", "year", (text != "").alias("abstract_available"), F.sha2(text, 256).alias("abstract_sha256"))
+    proposed = proposals.select("group_id", "proposed_status", piped("reason_codes").alias("proposal_reasons"))
+    told = features.select("group_id", F.col("design").alias("design_bucket"), *(piped(k).alias(f"{k[:-1]}_concepts") for k in ("conditions", "interventions", "outcomes")))
+    said = decisions.select("group_id", F.col("decision").alias("human_decision"), piped("reason_codes").alias("human_reason_codes"), "reviewed_by")
+    joined = own.join(proposed, "group_id", "left").join(told, "group_id", "left").join(said, "group_id", "left")
+    blank = {c: F.coalesce(c, F.lit("")) for c in ("human_decision", "human_reason_codes", "reviewed_by")}
+    return joined.withColumns(blank).withColumn("effectiveness_authority", F.lit(False))
+
+
+def funnel_gates(selected: DataFrame, extractions: DataFrame, duplicates_complete: Column, unresolved: DataFrame, signed_off: Column) -> DataFrame:
+    """The seven gates before a synthesis: one row, all counts and conditions combined before the shuffle.
+
+    ``selected(group_id)`` are the included groups; ``extractions`` have ``group_id, risk_of_bias, effect_estimates, source_locators, adverse_events, conflicts``; both count a
+    group once.  Extractions are complete where exactly the selected groups have one.
+    """
+    both = selected.select("group_id").distinct().withColumn("_s", F.lit(True)).join(extractions.dropDuplicates(["group_id"]).withColumn("_e", F.lit(True)), "group_id", "full")
+    filled = lambda c: F.coalesce(F.size(c) > 0, F.lit(False))
+    said = lambda c: F.coalesce(F.trim(c) != "", F.lit(False))
+    one = both.agg(
+        F.count_if(F.col("_s").isNotNull()).alias("selected"), F.count_if(F.col("_s").isNull() | F.col("_e").isNull()).alias("apart"),
+        F.bool_and(F.coalesce(F.col("risk_of_bias") != "unclear", F.lit(False))).alias("risk"), F.bool_and(filled("effect_estimates") & filled("source_locators")).alias("located"),
+        F.bool_and(said("adverse_events") & said("conflicts")).alias("harms"),
+    ).crossJoin(unresolved.agg(F.count("*").alias("unresolved")))
+    whole = (F.col("selected") > 0) & (F.col("apart") == 0)
+    return gates(
+        one,
+        {
+            "duplicate_decisions_complete": duplicates_complete, "eligibility_decisions_complete": F.col("unresolved") == 0, "included_full_text_extractions_complete": whole,
+            "risk_of_bias_complete": whole & F.col("risk"), "effect_estimates_source_located": whole & F.col("located"), "harms_and_conflicts_extracted": whole & F.col("harms"),
+            "human_synthesis_signoff": signed_off,
+        },
+        False,
     )

@@ -6,11 +6,13 @@ import hashlib
 import json
 from collections.abc import Iterable
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from siftlake.functions import normalise as N
+from siftlake.session import stage
 
 #: The legal transitions by actor; an empty state stands for "not yet known".
 EDGES = {
@@ -60,6 +62,75 @@ def conflicting(existing: DataFrame, batch: DataFrame, keys: list[str], value: s
     return batch.join(existing.select(*keys, F.col(value).alias("_recorded")), keys).filter(~F.col(value).eqNullSafe(F.col("_recorded")))
 
 
+def append_referenced(existing: DataFrame, batch: DataFrame, referred: DataFrame, key: str, target: str, own: str = "id") -> tuple[DataFrame, DataFrame]:
+    """The rows of a batch to append, and those refused as what they refer to doesn't exist.
+
+    Rows already held are neither (a repeated append changes nothing); a null reference is refused.
+    """
+    known = referred.select(F.col(target).alias(key)).distinct()
+    return append_new(existing, batch.join(known, key, "left_semi"), own), batch.join(known, key, "left_anti")
+
+
+def numbered(rows: DataFrame, order: str) -> DataFrame:
+    """``rows`` with ``sequence``, their place from 1 in the order of a column of distinct values.
+
+    Places within range partitions plus the counts of the partitions before; no task holds more than its partition.
+    """
+    ranged = stage(rows.repartitionByRange(order).sortWithinPartitions(order).withColumn("_p", F.spark_partition_id()), "ranged")
+    before = ranged.groupBy("_p").count().withColumn("_before", F.coalesce(F.sum("count").over(W.orderBy("_p").rowsBetween(W.unboundedPreceding, -1)), F.lit(0)))
+    placed = ranged.withColumn("_r", F.row_number().over(W.partitionBy("_p").orderBy(order)))
+    return placed.join(F.broadcast(before.select("_p", "_before")), "_p").withColumn("sequence", (F.col("_before") + F.col("_r")).cast("bigint")).drop("_p", "_r", "_before")
+
+
+def verbatim_spans(proposals: DataFrame, sources: DataFrame, key: str, fields: tuple[str, ...]) -> DataFrame:
+    """``proposals`` (``key, spans`` of ``field, exact_text``) with ``verbatim``: there are spans, and each stands letter for letter in its field of the source.
+
+    A span of another field, an empty one, and a source that doesn't exist or has a null field aren't verbatim.
+    """
+    texts = sources.select(key, *(F.col(f).alias(f"_{f}") for f in fields)).dropDuplicates([key])
+    place = F.create_map(*(x for f in fields for x in (F.lit(f), F.col(f"_{f}"))))
+    stands = F.forall("spans", lambda s: F.coalesce((s["exact_text"] != "") & F.contains(F.try_element_at(place, s["field"]), s["exact_text"]), F.lit(False)))
+    joined = proposals.join(texts, key, "left").withColumn("verbatim", F.coalesce((F.size("spans") > 0) & stands, F.lit(False)))
+    return joined.drop(*(f"_{f}" for f in fields))
+
+
+def payload_holds(payload: Column, recorded: Column, own: str, derived: tuple[str, ...]) -> Column:
+    """Whether a JSON object has the recorded hash, left out its own hash field and any choice of the fields that were derived later."""
+
+    @F.pandas_udf("array<string>")
+    def forms(texts: pd.Series) -> pd.Series:
+        def hashes(text: str | None) -> list[str]:
+            try:
+                body = json.loads(text) if text is not None else None
+            except (ValueError, RecursionError):
+                body = None
+            if not isinstance(body, dict):
+                return []
+            body.pop(own, None)
+            found = []
+            for choice in range(1 << len(derived)):
+                kept = {k: v for k, v in body.items() if not any(choice >> i & 1 and k == name for i, name in enumerate(derived))}
+                found.append(hashlib.sha256(json.dumps(kept, sort_keys=True, ensure_ascii=False, separators=(",", ":")).encode()).hexdigest())
+            return found
+
+        return texts.map(hashes)
+
+    return F.coalesce(F.array_contains(forms(payload), recorded), F.lit(False))
+
+
+def audit_rows(checks: dict[str, tuple[DataFrame, Column, Column]]) -> DataFrame:
+    """One row per check of a ledger: ``check, rows, failures, first_failure``; each check is ``(table, key, condition)``, a null condition fails.
+
+    Counts and the smallest failing key combine before the shuffle; a table without rows passes.
+    """
+    every = None
+    for name, (rows, key, holds) in sorted(checks.items()):
+        bad = ~F.coalesce(holds, F.lit(False))
+        part = rows.agg(F.lit(name).alias("check"), F.count("*").alias("rows"), F.count_if(bad).alias("failures"), F.min(F.when(bad, key.cast("string"))).alias("first_failure"))
+        every = part if every is None else every.unionByName(part)
+    return every
+
+
 def missing_references(rows: DataFrame, referred: DataFrame, key: str, target: str) -> DataFrame:
     """Foreign keys without a target, each once."""
     return rows.select(key).filter(F.col(key).isNotNull()).distinct().join(referred.select(F.col(target).alias(key)), key, "left_anti")

@@ -209,3 +209,81 @@ def affiliation_table(nodes: DataFrame) -> DataFrame:
         .select("doc_key", "item_pos", "author_pos", F.col("position").alias("affiliation_pos"), "author_pre", "pre", "post", "label")
         .distinct()
     )
+
+
+KINDS = {dict: "object", list: "array", str: "string", bool: "boolean", int: "number", float: "number", type(None): "null"}
+NODES = "doc_key string, node_no bigint, pre bigint, post bigint, depth int, node_type string, position int, kind string, value string"
+
+
+def label_tree(root: object) -> list[tuple]:
+    """Every node of a JSON value in pre-order: ``(node_no, pre, post, depth, node_type, position, kind, value)``.
+
+    ``pre`` and ``post`` are the ticks at which a depth-first traversal enters and leaves the node.  The type is the node's path without the places in lists
+    (``$.papers[].title``), the position its place from 1 in its list or object, the value the text of a leaf (null for null).  No depth is too deep.
+    """
+    out: list[list] = []
+    clock = 0
+    open_: list[tuple] = [("$", 1, root, 0)]
+    while open_:
+        path, position, value, depth = open_.pop()
+        clock += 1
+        if position < 0:  # the node is left
+            out[value][2] = clock
+            continue
+        kind = KINDS[type(value)]
+        inner = kind in ("object", "array")
+        text = None if inner or value is None else value if kind == "string" else json.dumps(value)
+        out.append([len(out) + 1, clock, clock + 1, depth, path, position, kind, text])
+        if not inner:
+            clock += 1
+            continue
+        open_.append((path, -1, len(out) - 1, depth))
+        below = [(f"{path}.{k}", v) for k, v in value.items()] if kind == "object" else [(f"{path}[]", v) for v in value]
+        open_.extend((p, i, v, depth + 1) for i, (p, v) in zip(range(len(below), 0, -1), reversed(below)))
+    return [tuple(x) for x in out]
+
+
+def every_node(documents: DataFrame, key: str, text: str) -> DataFrame:
+    """All nodes of each document with their interval labels (``NODES``); one pass, no shuffle.
+
+    A null, empty or unreadable text has no nodes; equal rows give equal nodes.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        kinds = (pa.string(), *(pa.int64(),) * 3, pa.int32(), pa.string(), pa.int32(), pa.string(), pa.string())
+        names = [x.split()[0] for x in NODES.split(", ")]
+        for batch in batches:
+            rows: list[tuple] = []
+            for doc, body in zip(batch.column(0).to_pylist(), batch.column(1)):
+                body = body.as_py()
+                try:
+                    nodes = label_tree(json.loads(body)) if body else []
+                except (ValueError, RecursionError):
+                    nodes = []
+                rows.extend((doc, *n) for n in nodes)
+                if len(rows) > 100_000:
+                    yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows), kinds)], names=names)
+                    rows = []
+            if rows:
+                yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows), kinds)], names=names)
+
+    return documents.select(F.col(key).cast("string").alias("doc_key"), F.col(text).alias("body")).mapInArrow(run, NODES)
+
+
+def node_table(nodes: DataFrame, node_type: str) -> DataFrame:
+    """The table of one type of nodes, without the rows of documents delivered twice."""
+    return nodes.filter(F.col("node_type") == node_type).distinct()
+
+
+def link_parents(nodes: DataFrame) -> DataFrame:
+    """Every node with ``parent_no``, the node whose interval contains its own most closely; null for a root.
+
+    The parent is the last node of the level above that was opened before, so one window over a document's nodes finds it for each level; a document is one text.
+    """
+    once = nodes.distinct()
+    above = once.select("doc_key", F.col("depth").alias("level"), "pre", "node_no", F.lit(True).alias("opens"))
+    rows = once.select("doc_key", (F.col("depth") - 1).alias("level"), "pre", "node_no", F.lit(False).alias("opens")).unionByName(above)
+    order = W.partitionBy("doc_key", "level").orderBy("pre").rowsBetween(W.unboundedPreceding, 0)
+    parent = F.last(F.when(F.col("opens"), F.col("node_no")), ignorenulls=True).over(order)
+    linked = rows.withColumn("parent_no", parent).filter("not opens").select("doc_key", "node_no", "parent_no")
+    return once.join(linked, ["doc_key", "node_no"])

@@ -42,16 +42,22 @@ def sql_doi(x: str) -> str:
     return f"CASE WHEN regexp_full_match({found}, '10\\.\\d{{4,9}}/\\S+') THEN {found} END"
 
 
+def sql_own(column: str, field: str) -> str:
+    """A record's own value, else that of its raw JSON."""
+    return f"coalesce(CASE WHEN trim({column}) <> '' THEN {column} END, raw_json ->> '$.{field}')"
+
+
 SQL_PROVIDER = "regexp_replace(lower(trim(provider)), '[^a-z0-9]+', '_', 'g')"
 SQL_BATCH = f"""
     batch AS (SELECT DISTINCT ON (id) id AS acquisition_id, {SQL_PROVIDER} AS provider, endpoint, observed_at,
         request_json ->> '$.query' AS query FROM acquisitions)"""
 SQL_RECORD = f"""
     rec AS (SELECT DISTINCT ON (id) id AS source_record_id, acquisition_id, kind, {sql_text('title')} AS title, {sql_title('title')} AS normalised_title,
-        {sql_text("(raw_json ->> '$.abstract')")} AS abstract, year, {sql_doi('doi')} AS doi,
-        CASE WHEN regexp_full_match(regexp_replace(pmid, '^pmid:\\s*', '', 'i'), '\\d{{1,12}}') THEN regexp_replace(pmid, '^pmid:\\s*', '', 'i') END AS pmid,
+        {sql_text("(raw_json ->> '$.abstract')")} AS abstract,
+        coalesce(year, CAST(nullif(regexp_extract(raw_json ->> '$.year', '\\b(1[6-9]\\d{{2}}|20\\d{{2}}|21\\d{{2}}|2200)\\b', 1), '') AS INTEGER)) AS year, {sql_doi(sql_own('doi', 'doi'))} AS doi,
+        CASE WHEN regexp_full_match(trim(regexp_replace({sql_own('pmid', 'pmid')}, '^pmid:\\s*', '', 'i')), '\\d{{1,12}}') THEN trim(regexp_replace({sql_own('pmid', 'pmid')}, '^pmid:\\s*', '', 'i')) END AS pmid,
         CASE WHEN regexp_full_match(upper(raw_json ->> '$.pmcid'), 'PMC\\d+') THEN upper(raw_json ->> '$.pmcid') END AS pmcid,
-        CASE WHEN regexp_full_match(upper(nct_id), 'NCT\\d{{8}}') THEN upper(nct_id) END AS nct_id,
+        CASE WHEN regexp_full_match(upper(trim({sql_own('nct_id', 'nctId')})), 'NCT\\d{{8}}') THEN upper(trim({sql_own('nct_id', 'nctId')})) END AS nct_id,
         raw_json ->> '$.isOpenAccess' AS open_flag, coalesce(CAST(raw_json -> '$.urls' AS VARCHAR[]), []) AS all_urls,
         coalesce(CAST(raw_json -> '$.authors' AS VARCHAR[]), []) AS authors, retrieved_at
         FROM source_records),
@@ -96,10 +102,10 @@ def normalise_title(spark: SparkSession, folder: str) -> DataFrame:
     return table(spark, folder, "source_records").select("id", N.normalise_title(F.col("title")).alias("normalised_title")).distinct()
 
 
-@query(f"SELECT doc_id, {sql_title('regexp_extract(text, ' + chr(39) + '^[^' + chr(92) + 'n' + chr(92) + 'r]*' + chr(39) + ')')} AS heading FROM documents WHERE lang = 'en'")
+@query(f"SELECT doc_id, {sql_title('regexp_extract(text, ' + chr(39) + '^[^' + chr(92) + 'n' + chr(92) + 'r]*' + chr(39) + ')')} AS heading FROM documents")
 def document_headings(spark: SparkSession, folder: str) -> DataFrame:
     heading = F.regexp_extract("text", "^[^\\n\\r]*", 0)
-    return table(spark, folder, "documents").filter("lang = 'en'").select("doc_id", N.normalise_title(heading).alias("heading"))
+    return table(spark, folder, "documents").select("doc_id", N.normalise_title(heading).alias("heading"))
 
 
 @query("""
@@ -137,10 +143,10 @@ def url_normalise(spark: SparkSession, folder: str) -> DataFrame:
 
 @query("""
     SELECT DISTINCT id, coalesce('doi:' || nullif(lower(trim(doi)), ''), 'pmid:' || nullif(lower(trim(pmid)), ''), 'nct:' || nullif(lower(trim(nct_id)), ''),
-        kind || ':fallback:' || sha256('{"title":"' || title || '","year":' || coalesce(CAST(year AS VARCHAR), 'null') || '}')) AS identity
-    FROM source_records WHERE title IS NOT NULL AND NOT contains(title, '"') AND NOT contains(title, chr(92))""")
+        kind || ':fallback:' || sha256('{"title":' || coalesce(CAST(to_json(title) AS VARCHAR), 'null') || ',"year":' || coalesce(CAST(year AS VARCHAR), 'null') || '}')) AS identity
+    FROM source_records""")
 def identity_key_coalesce(spark: SparkSession, folder: str) -> DataFrame:
-    rows = table(spark, folder, "source_records").filter(F.col("title").isNotNull() & ~F.col("title").contains('"') & ~F.col("title").contains("\\"))
+    rows = table(spark, folder, "source_records")
     identity = N.source_identity(F.col("kind"), F.col("title"), F.col("year"), F.col("doi"), F.col("pmid"), F.col("nct_id"))
     return rows.select("id", identity.alias("identity")).distinct()
 

@@ -6,11 +6,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from siftlake.functions import normalise as N
-from siftlake.operators import ledger
+from siftlake.operators import contracts, ledger, provenance
 from siftlake.operators.nested import provider_key
 from siftlake.plans import campaign
 from siftlake.plans.screening_queries import ONTOLOGY, SPECIFICATION
 from siftlake.session import table
+from siftlake.sources import requests
 from siftlake.streaming import state
 
 QUERIES: dict = {}
@@ -82,10 +83,7 @@ def state_chain_audit(spark: SparkSession, folder: str) -> DataFrame:
     SELECT seq FROM c WHERE seq % 40 = 0 AND seq > 1""")
 def ledger_chain_audit(spark: SparkSession, folder: str) -> DataFrame:
     """A chain over the acquisitions in which every fortieth link is broken; the audit must name exactly those."""
-    from pyspark.sql import Window as W
-
-    ids = table(spark, folder, "acquisitions").select("id").distinct()
-    seq = ids.withColumn("seq", F.row_number().over(W.orderBy("id")).cast("bigint"))
+    seq = ledger.numbered(table(spark, folder, "acquisitions").select("id").distinct(), "id").withColumnRenamed("sequence", "seq")
     before = seq.select((F.col("seq") + 1).alias("seq"), F.sha2("id", 256).alias("prev"))
     entries = seq.select("seq", F.sha2("id", 256).alias("entry")).join(before, "seq", "left")
     return ledger.chain_breaks(entries.withColumn("prev", F.when(F.col("seq") % 40 == 0, F.lit("?")).otherwise(F.col("prev"))), "seq", "entry", "prev").select("seq")
@@ -140,17 +138,30 @@ def prior_request_lookup(spark: SparkSession, folder: str) -> DataFrame:
 
 
 @query("""
-    WITH r AS (SELECT DISTINCT id, provider AS raw_provider, regexp_replace(lower(trim(provider)), '[^a-z0-9]+', '_', 'g') AS provider, request_json ->> '$.query' AS q, CAST(request_json ->> '$.maxResults' AS INTEGER) AS m FROM acquisitions),
-    ex AS (SELECT provider, q, m, min(id) AS query_id FROM r WHERE provider = 'pubmed' GROUP BY ALL), an AS (SELECT q, m, min(id) AS query_id FROM r WHERE provider = 'europe_pmc' GROUP BY ALL)
-    SELECT r.id, coalesce(ex.query_id, an.query_id, 'unmapped') AS query_id FROM r LEFT JOIN ex USING (provider, q, m) LEFT JOIN an ON an.q = r.q AND an.m = r.m""")
+    WITH r AS (SELECT DISTINCT id, regexp_replace(lower(trim(provider)), '[^a-z0-9]+', '_', 'g') AS provider, request_json ->> '$.query' AS q, CAST(request_json ->> '$.maxResults' AS INTEGER) AS m FROM acquisitions),
+    look AS (SELECT provider AS p, q, m, min(id) AS query_id, true AS compiled FROM r WHERE provider = 'pubmed' GROUP BY ALL UNION ALL SELECT NULL, q, m, min(id), false FROM r WHERE provider = 'europe_pmc' GROUP BY ALL),
+    loose AS (SELECT p, q, min(query_id) AS query_id, any_value(compiled) AS compiled FROM look GROUP BY p, q HAVING count(DISTINCT query_id) = 1)
+    SELECT r.id, coalesce(a.query_id, b.query_id, c.query_id, d.query_id, 'unmapped') AS query_id, coalesce(a.compiled, b.compiled, c.compiled, d.compiled, false) AS compiled FROM r
+        LEFT JOIN look a ON a.p = r.provider AND a.q = r.q AND a.m = r.m LEFT JOIN look b ON b.p IS NULL AND b.q = r.q AND b.m = r.m
+        LEFT JOIN loose c ON c.p = r.provider AND c.q = r.q LEFT JOIN loose d ON d.p IS NULL AND d.q = r.q""")
 def query_provenance(spark: SparkSession, folder: str) -> DataFrame:
-    """Which registered expression an acquisition came from: exact provider first, then any provider, else ``unmapped``."""
+    """Which query an acquisition came from, by four keys in turn; one provider's requests stand in as the campaign's questions, another's as compiled expressions."""
     rows = table(spark, folder, "acquisitions").select(
-        "id", provider_key(F.col("provider")).alias("provider"), F.get_json_object("request_json", "$.query").alias("q"), F.get_json_object("request_json", "$.maxResults").cast("int").alias("m")
+        "id", provider_key(F.col("provider")).alias("provider"), F.get_json_object("request_json", "$.query").alias("expression"), F.get_json_object("request_json", "$.maxResults").cast("int").alias("maximum")
     ).distinct()
-    exact = rows.filter("provider = 'pubmed'").groupBy("provider", "q", "m").agg(F.min("id").alias("e"))
-    any_ = rows.filter("provider = 'europe_pmc'").groupBy("q", "m").agg(F.min("id").alias("a"))
-    return rows.join(exact, ["provider", "q", "m"], "left").join(any_, ["q", "m"], "left").select("id", F.coalesce("e", "a", F.lit("unmapped")).alias("query_id"))
+    named = lambda provider, *keys: rows.filter(F.col("provider") == provider).groupBy(*keys, "expression", "maximum").agg(F.min("id").alias("query_id")).withColumn("negative_control", F.lit(False))
+    lookup = provenance.lookup_rows(named("europe_pmc"), named("pubmed", "provider"))
+    return provenance.trace_queries(rows, lookup).select("id", "query_id", "compiled")
+
+
+@query("""
+    WITH q AS (SELECT request_json ->> '$.query' AS q, max(id) AS query_id FROM acquisitions WHERE regexp_replace(lower(trim(provider)), '[^a-z0-9]+', '_', 'g') = 'europe_pmc' GROUP BY 1)
+    SELECT DISTINCT id, coalesce(query_id, 'unmapped') AS query_id, CASE WHEN query_id IS NULL THEN 0 ELSE 2 END AS phase FROM acquisitions LEFT JOIN q ON q = request_json ->> '$.query'""")
+def question_lookup(spark: SparkSession, folder: str) -> DataFrame:
+    """The older lookup of acquisitions by their question."""
+    rows = table(spark, folder, "acquisitions").select("id", provider_key(F.col("provider")).alias("provider"), F.get_json_object("request_json", "$.query").alias("expression")).distinct()
+    asked = rows.filter("provider = 'europe_pmc'").select("expression", F.col("id").alias("query_id"), F.lit(2).alias("phase"))
+    return provenance.trace_questions(rows, asked).select("id", "query_id", "phase")
 
 
 @query("SELECT id, contains(response_json, replace(title, chr(34), chr(92) || chr(34))) AS verbatim FROM (SELECT DISTINCT s.id, s.title, a.response_json FROM source_records s JOIN acquisitions a ON a.id = s.acquisition_id WHERE length(s.title) > 0)")
@@ -260,3 +271,106 @@ def stream_dedup_append(spark: SparkSession, folder: str) -> DataFrame:
 def stream_state_machine(spark: SparkSession, folder: str) -> DataFrame:
     """Review events run through the keyed state machine as a stream: accepted, replayed and rejected ones by group."""
     return state.run_state_machine(spark, f"{folder}/events.parquet")
+
+
+@query("""
+    SELECT 'acquisition_count' AS check, count(*) AS rows, count(*) FILTER (WHERE n IS DISTINCT FROM source_count) AS failures, min(CASE WHEN n IS DISTINCT FROM source_count THEN id END) AS first_failure FROM
+        (SELECT id, any_value(source_count) AS source_count FROM acquisitions GROUP BY id) LEFT JOIN (SELECT acquisition_id AS id, count(DISTINCT rank) AS n FROM source_records GROUP BY 1) USING (id) UNION ALL
+    SELECT 'acquisition_request', count(*), count(*) FILTER (WHERE sha256(request_json) IS DISTINCT FROM request_sha256), min(CASE WHEN sha256(request_json) IS DISTINCT FROM request_sha256 THEN id END) FROM acquisitions UNION ALL
+    SELECT 'acquisition_response', count(*), count(*) FILTER (WHERE sha256(response_json) IS DISTINCT FROM response_sha256), min(CASE WHEN sha256(response_json) IS DISTINCT FROM response_sha256 THEN id END) FROM acquisitions UNION ALL
+    SELECT 'decision_authority', count(*), count(*) FILTER (WHERE state_authority IS DISTINCT FROM 0), min(CASE WHEN state_authority IS DISTINCT FROM 0 THEN id END) FROM duplicate_decisions UNION ALL
+    SELECT 'decision_evidence', count(*), count(*) FILTER (WHERE sha256(evidence_json) IS DISTINCT FROM evidence_sha256), min(CASE WHEN sha256(evidence_json) IS DISTINCT FROM evidence_sha256 THEN id END) FROM duplicate_decisions UNION ALL
+    SELECT 'decision_pair', count(*), count(*) FILTER (WHERE NOT listed), min(CASE WHEN NOT listed THEN id END) FROM (SELECT id, pair_sha256 IN (SELECT pair_sha256 FROM duplicate_pairs) AS listed FROM duplicate_decisions) UNION ALL
+    SELECT 'record_acquisition', count(*), count(*) FILTER (WHERE NOT held), min(CASE WHEN NOT held THEN id END) FROM (SELECT id, acquisition_id IN (SELECT id FROM acquisitions) AS held FROM source_records) UNION ALL
+    SELECT 'record_payload', count(*), count(*) FILTER (WHERE sha256(raw_json) IS DISTINCT FROM raw_sha256), min(CASE WHEN sha256(raw_json) IS DISTINCT FROM raw_sha256 THEN id END) FROM source_records UNION ALL
+    SELECT 'record_title', count(*), count(*) FILTER (WHERE raw_json ->> '$.title' IS DISTINCT FROM title), min(CASE WHEN raw_json ->> '$.title' IS DISTINCT FROM title THEN id END) FROM source_records""")
+def ledger_audit(spark: SparkSession, folder: str) -> DataFrame:
+    """Hashes, counts, references, projections and authority of all ledger tables recomputed, one row a check."""
+    taken, records, said = (table(spark, folder, t) for t in ("acquisitions", "source_records", "duplicate_decisions"))
+    counted = ledger.acquisition_audit(taken, records).withColumn("fits", F.col("count_ok") & (F.col("found") > 0))
+    hashed = lambda c: F.sha2(f"{c}_json", 256) == F.col(f"{c}_sha256")
+    held = taken.select(F.col("id").alias("acquisition_id"), F.lit(True).alias("_held")).distinct()
+    listed = table(spark, folder, "duplicate_pairs").select("pair_sha256", F.lit(True).alias("_listed")).distinct()
+    key = F.col("id")
+    return ledger.audit_rows({
+        "acquisition_count": (counted, key, F.col("fits")), "acquisition_request": (taken, key, hashed("request")), "acquisition_response": (taken, key, hashed("response")),
+        "decision_authority": (said, key, F.col("state_authority") == 0), "decision_evidence": (said, key, hashed("evidence")), "decision_pair": (said.join(listed, "pair_sha256", "left"), key, F.col("_listed")),
+        "record_acquisition": (records.join(held, "acquisition_id", "left"), key, F.col("_held")), "record_payload": (records, key, F.sha2("raw_json", 256) == F.col("raw_sha256")),
+        "record_title": (records, key, F.get_json_object("raw_json", "$.title").eqNullSafe(F.col("title"))),
+    })
+
+
+@query("""
+    SELECT id, substr(title, 1, 12) <> '' AND contains(title, substr(title, 1, 12)) AND length(coalesce(venue, '')) % 4 <> 0 AND venue IS NOT NULL AS verbatim
+    FROM (SELECT DISTINCT id, title, raw_json ->> '$.venue' AS venue FROM source_records WHERE length(title) > 0)""")
+def verbatim_evidence(spark: SparkSession, folder: str) -> DataFrame:
+    """Evidence spans of proposals against their sources: the title's begin always stands there, the venue's only where its length doesn't fall to a planted slip."""
+    rows = table(spark, folder, "source_records").filter("length(title) > 0").select("id", "title", F.get_json_object("raw_json", "$.venue").alias("venue")).distinct()
+    span = lambda field, text: F.struct(F.lit(field).alias("field"), text.alias("exact_text"))
+    slip = F.when(F.length("venue") % 4 == 0, F.concat("venue", F.lit("~"))).otherwise(F.col("venue"))
+    said = rows.select("id", F.array(span("title", F.left("title", F.lit(12))), span("venue", slip)).alias("spans"))
+    return ledger.verbatim_spans(said, rows, "id", ("title", "venue")).select("id", "verbatim")
+
+
+@query("""
+    WITH held AS (SELECT DISTINCT id FROM duplicate_decisions WHERE campaign_id = (SELECT min(campaign_id) FROM duplicate_decisions)), b AS (SELECT DISTINCT id, pair_sha256 FROM duplicate_decisions)
+    SELECT id, pair_sha256, CASE WHEN pair_sha256 NOT IN (SELECT pair_sha256 FROM duplicate_pairs) THEN 'refused' ELSE 'appended' END AS outcome FROM b
+        WHERE pair_sha256 NOT IN (SELECT pair_sha256 FROM duplicate_pairs) OR id NOT IN (SELECT id FROM held)""")
+def referenced_append(spark: SparkSession, folder: str) -> DataFrame:
+    """All decisions delivered to a ledger that holds one campaign's already: new ones on listed pairs are appended, those on unlisted pairs refused."""
+    batch = table(spark, folder, "duplicate_decisions").select("id", "pair_sha256", "campaign_id").distinct()
+    held = batch.join(F.broadcast(batch.agg(F.min("campaign_id").alias("campaign_id"))), "campaign_id", "left_semi")
+    added, refused = ledger.append_referenced(held, batch.drop("campaign_id"), table(spark, folder, "duplicate_pairs"), "pair_sha256", "pair_sha256")
+    return added.withColumn("outcome", F.lit("appended")).unionByName(refused.withColumn("outcome", F.lit("refused"))).distinct()
+
+
+@query("""
+    SELECT id, CASE WHEN k IN (0, 1) THEN true ELSE false END AS holds FROM (SELECT DISTINCT id, length(title) % 3 AS k FROM source_records WHERE title IS NOT NULL)""")
+def payload_binding(spark: SparkSession, folder: str) -> DataFrame:
+    """Payloads bound by a hash that was taken before (0) or after (1) a field was derived, or of another payload (2)."""
+    rows = table(spark, folder, "source_records").filter("title is not null").select("id", "title", "raw_json").distinct()
+    plain = N.canonical_json(F.to_json(F.struct("id", "title")))
+    derived = N.canonical_json(F.to_json(F.struct("id", "title", F.lit(7).alias("screening_priority"))))
+    k = F.length("title") % 3
+    recorded = F.sha2(F.when(k == 0, plain).when(k == 1, derived).otherwise(F.concat(plain, F.lit("~"))), 256)
+    return rows.select("id", ledger.payload_holds(derived, recorded, "group_payload_sha256", ("screening_priority", "priority_reason_codes")).alias("holds"))
+
+
+_APPRAISAL = """
+    WITH r AS (SELECT DISTINCT id, title, length(title) % 9 AS k FROM source_records WHERE title IS NOT NULL)
+    SELECT id, CASE k WHEN 1 THEN ['missing:notes'] WHEN 2 THEN ['extra:verdict'] WHEN 3 THEN ['study_design'] WHEN 4 THEN ['human_verified'] WHEN 5 THEN ['verified_without_quote'] WHEN 6 THEN ['assessed_at', 'source_record_id']
+        WHEN 7 THEN ['full_text_without_locator', 'risk_of_bias'] WHEN 8 THEN ['not_an_object'] ELSE []::VARCHAR[] END AS breaches FROM r"""
+
+
+@query(_APPRAISAL)
+def appraisal_contract(spark: SparkSession, folder: str) -> DataFrame:
+    """An appraisal of every record with faults planted by the length of its title; the contract must name exactly those."""
+    rows = table(spark, folder, "source_records").filter("title is not null").select("id", "title", (F.length("title") % 9).alias("k")).distinct()
+    when = lambda k, bad, good: F.when(F.col("k") == k, F.lit(bad)).otherwise(F.lit(good))
+    body = {
+        "schema_version": F.lit("appraisal.v1"), "source_record_id": F.when(F.col("k") == 6, F.upper(F.concat(F.lit("x"), "id"))).otherwise(F.col("id")), "study_identity": F.col("id"), "study_design": when(3, "sort of a trial", "cohort"), "full_text_verified": F.lit(True),
+        "risk_of_bias": when(7, "dreadful", "low"), "population_applicability": F.lit("direct"), "harms_assessed": F.lit(True), "conflicts_assessed": F.lit(False), "retraction_status": F.lit("clear"),
+        "effect_estimate": F.lit("1.2"), "confidence_interval": F.lit("0.9 to 1.5"), "outcome_direction": F.lit("mixed"), "supporting_quote": F.when(F.col("k") != 5, F.lit("quoted")), "source_locator": F.when(F.col("k") != 7, F.lit("p. 1")),
+        "assessed_by": F.lit("somebody"), "assessed_at": when(6, "2024-05-01T10:00:00", "2024-05-01T10:00:00Z"), "notes": F.when(F.col("k") != 1, F.array(F.lit("n"))),
+    }
+    text = F.to_json(F.struct(*(c.alias(n) for n, c in body.items()), F.lit(True).alias("human_verified")), {"ignoreNullFields": "false"})
+    text = F.when(F.col("k") == 4, F.replace(text, F.lit('"human_verified":true'), F.lit('"human_verified":"true"'))).otherwise(text)
+    text = F.when(F.col("k") == 1, F.replace(text, F.lit('"notes":null,'), F.lit(""))).when(F.col("k") == 2, F.replace(text, F.lit('"notes":'), F.lit('"verdict":1,"notes":'))).when(F.col("k") == 8, F.lit("[1]")).otherwise(text)
+    return rows.select("id", contracts.appraisal_contract("appraisal.v1").breaches(text).alias("breaches"))
+
+
+@query("""
+    SELECT DISTINCT id, '{"apiKeyProvided":false,"contactEmailProvided":true,"endpoint":' || to_json(endpoint) || ',"filters":{},"maxResults":' || coalesce(request_json ->> '$.maxResults', 'null') || ',"provider":' || to_json(provider)
+        || ',"query":' || coalesce(to_json(request_json ->> '$.query')::VARCHAR, 'null') || '}' AS envelope,
+        '(' || (request_json ->> '$.query') || ') NOT (hasretractionin OR retracted publication[pt]) AND (review[pt] OR randomized controlled trial[pt]) AND 1990:2200[dp]' AS effective,
+        CASE WHEN length(id || provider) % 2 = 0 THEN 'https://api.example/records/' || id END AS address FROM acquisitions""")
+def request_envelopes(spark: SparkSession, folder: str) -> DataFrame:
+    """Requests rebuilt as envelopes and effective queries, and which of two addresses is the official one."""
+    rows = table(spark, folder, "acquisitions").select("id", "provider", "endpoint", F.get_json_object("request_json", "$.query").alias("q"), F.get_json_object("request_json", "$.maxResults").cast("int").alias("m")).distinct()
+    none = F.lit(None).cast("string")
+    url = F.when(F.length(F.concat("id", "provider")) % 2 == 0, F.concat(F.lit("https://api.example/records/"), "id")).otherwise(F.concat(F.lit("https://api.example.evil.example/records/"), "id"))
+    return rows.select(
+        "id", requests.request_envelope(F.col("provider"), F.col("endpoint"), F.col("q"), F.col("m"), none, F.lit("a@b.example"), none).alias("envelope"),
+        requests.effective_query(F.col("q"), F.lit(True), F.array(F.lit("Review"), F.lit("RCT"), F.lit("Poem")), F.lit(1990), F.lit(None).cast("int")).alias("effective"),
+        requests.official_address(url, "api.example", "/records/").alias("address"),
+    )

@@ -28,14 +28,55 @@ def read_documents(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.format("binaryFile").load(path).select("path", "length", F.sha2("content", 256).alias("sha256"))
 
 
-def _parse(content: bytes) -> ET.Element | None:
-    """A document's root; documents with entities or a DTD of their own, or beyond the size limit, are refused."""
-    if content is None or len(content) > XML_LIMIT or b"<!ENTITY" in content or b"<!DOCTYPE" in content.replace(b"<!DOCTYPE article", b"").replace(b"<!DOCTYPE PubmedArticleSet", b""):
-        return None
+def parse_document(content: bytes | None, limit: int = XML_LIMIT) -> tuple[ET.Element | None, str | None]:
+    """A document's root, or why it is refused: ``empty``, ``too_large``, ``entities`` (entities or a document type of its own) or ``unreadable``."""
+    if not content:
+        return None, "empty"
+    if len(content) > limit:
+        return None, "too_large"
+    if b"<!ENTITY" in content or b"<!DOCTYPE" in content.replace(b"<!DOCTYPE article", b"").replace(b"<!DOCTYPE PubmedArticleSet", b""):
+        return None, "entities"
     try:
-        return ET.fromstring(content)
+        return ET.fromstring(content), None
     except ET.ParseError:
-        return None
+        return None, "unreadable"
+
+
+def _parse(content: bytes | None) -> ET.Element | None:
+    return parse_document(content)[0]
+
+
+def refused_documents(spark: SparkSession, path: str, root: str | None = None) -> DataFrame:
+    """``path, reason`` of the XML files that no reader takes; ``root`` names the element they must begin with (``wrong_root`` otherwise)."""
+    files = spark.read.format("binaryFile").load(path).select("path", "content")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            out = []
+            for name, content in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+                found, reason = parse_document(content)
+                if found is not None and root and found.tag.rpartition("}")[2] != root:
+                    reason = "wrong_root"
+                if reason:
+                    out.append((name, reason))
+            yield pa.RecordBatch.from_arrays([pa.array([o[i] for o in out], pa.string()) for i in range(2)], names=["path", "reason"])
+
+    return files.mapInArrow(run, "path string, reason string")
+
+
+def fetched_document(spark: SparkSession, path: str, expected_sha256: str) -> DataFrame:
+    """A captured full text bound to its hash: ``path, length, sha256, root``; a file with another hash or a refused one is an error."""
+    files = spark.read.format("binaryFile").load(path).select("path", "length", "content", F.sha2("content", 256).alias("sha256"))
+
+    @F.udf("string")
+    def told(content: bytes | None) -> str:
+        found, reason = parse_document(bytes(content) if content is not None else None)
+        return f"!{reason}" if found is None else found.tag.rpartition("}")[2]
+
+    seen = files.select("path", "length", "sha256", told("content").alias("root"))
+    wrong = (F.col("sha256") != expected_sha256) | F.startswith("root", F.lit("!"))
+    checked = F.when(wrong, F.raise_error(F.concat(F.lit("not the document that was fetched: "), "path", F.lit(" "), "root"))).otherwise(F.col("root"))
+    return seen.withColumn("root", checked)
 
 
 def _text(node: ET.Element) -> str:

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from siftlake.functions.normalise import canonical_json
+from siftlake.session import bounded
 
 
 def write_jsonl(df: DataFrame, path: str) -> None:
@@ -55,8 +56,8 @@ def escape_markdown(text: Column) -> Column:
 
 
 def write_markdown(title: str, rows: DataFrame, path: str, limit: int = 1000) -> None:
-    """A bounded report as a Markdown table."""
-    cells = rows.select(*(escape_markdown(F.coalesce(F.col(c).cast("string"), F.lit(""))).alias(c) for c in rows.columns)).limit(limit).collect()
+    """A report as a Markdown table; one of more than ``limit`` rows is an error, never cut off."""
+    cells = bounded(rows.select(*(escape_markdown(F.coalesce(F.col(c).cast("string"), F.lit(""))).alias(c) for c in rows.columns)), limit)
     with open(path, "x", encoding="utf-8") as file:
         file.write(f"# {title}\n\n| {' | '.join(rows.columns)} |\n|{'---|' * len(rows.columns)}\n")
         file.writelines(f"| {' | '.join(r)} |\n" for r in cells)

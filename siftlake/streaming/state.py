@@ -67,17 +67,34 @@ def run_state_machine(spark: SparkSession, path: str) -> DataFrame:
     return _run(state_machine(review_events(read_events(spark, path)).select("group_id", "event_id", "to_state", "actor_kind")), "states")
 
 
-def append_once(spark: SparkSession, path: str, passes: int = 2) -> DataFrame:
-    """The same events delivered ``passes`` times; ids within the watermark are taken once."""
-    delivered = read_events(spark, path).withColumn("ts", F.col("ts").cast(T.TimestampType())).withColumn("delivery", F.explode(F.sequence(F.lit(1), F.lit(passes)))).drop("delivery")
-    return _run(delivered.withWatermark("ts", "60 days").dropDuplicatesWithinWatermark(["event_id"]), "appended")
+def append_once(spark: SparkSession, path: str, deliveries: int = 2) -> DataFrame:
+    """The same events delivered several times, each delivery to a run of its own that continues from the checkpoint of the one before.
+
+    What a run has seen is in its state, so a later run takes no id again; ids are told apart within the watermark.
+    """
+    base = f"{shared_dir(spark)}/appended-{uuid.uuid4().hex}"
+    events = spark.read.parquet(path).withColumn("ts", F.col("ts").cast(T.TimestampType()))
+    for _ in range(deliveries):
+        events.write.mode("append").parquet(f"{base}/in")
+        stream = spark.readStream.schema(events.schema).parquet(f"{base}/in")
+        writer = stream.withWatermark("ts", "60 days").dropDuplicatesWithinWatermark(["event_id"]).writeStream.format("parquet").outputMode("append")
+        writer.option("path", f"{base}/rows").option("checkpointLocation", f"{base}/checkpoint").trigger(availableNow=True).start().awaitTermination()
+    return spark.read.schema(events.schema).parquet(f"{base}/rows")
 
 
-def hourly_counts(spark: SparkSession, path: str) -> DataFrame:
-    """Events and values by hour and type, as a stream kept complete in a table of the shared folder."""
-    counted = read_events(spark, path).withColumn("ts", F.col("ts").cast(T.TimestampType())).groupBy(F.window("ts", "1 hour").alias("w"), "event_type").agg(F.count("*").alias("events"), F.sum("value").alias("total"))
+def hourly_counts(spark: SparkSession, path: str, late: str = "60 days") -> DataFrame:
+    """Events and values by hour and type: a stream whose state keeps a window until the watermark has passed it.
+
+    Each batch appends the windows it changed under its number, so nothing is rewritten; of a window the latest batch counts.  Events later than ``late`` behind
+    the latest one are dropped.
+    """
+    timed = read_events(spark, path).withColumn("ts", F.col("ts").cast(T.TimestampType())).withWatermark("ts", late)
+    counted = timed.groupBy(F.window("ts", "1 hour").alias("w"), "event_type").agg(F.count("*").alias("events"), F.sum("value").alias("total"))
     rows = counted.select(F.col("w.start").cast(T.TimestampNTZType()).alias("window_start"), "event_type", "events", "total")
     base = f"{shared_dir(spark)}/windows-{uuid.uuid4().hex}"
-    query = rows.writeStream.outputMode("complete").option("checkpointLocation", f"{base}/checkpoint").trigger(availableNow=True)
-    query.foreachBatch(lambda batch, number: batch.write.mode("overwrite").parquet(f"{base}/rows")).start().awaitTermination()
-    return spark.read.schema(rows.schema).parquet(f"{base}/rows")
+    # A batch that is run again after a failure writes the same folder again.
+    query = rows.writeStream.outputMode("update").option("checkpointLocation", f"{base}/checkpoint").trigger(availableNow=True)
+    query.foreachBatch(lambda batch, number: batch.withColumn("number", F.lit(number).cast("bigint")).write.mode("overwrite").parquet(f"{base}/rows/batch={number}")).start().awaitTermination()
+    found = spark.read.schema(T.StructType([*rows.schema.fields, T.StructField("number", T.LongType())])).parquet(f"{base}/rows")
+    last = F.max(F.struct("number", "events", "total")).alias("r")
+    return found.groupBy("window_start", "event_type").agg(last).select("window_start", "event_type", "r.events", "r.total")

@@ -67,7 +67,7 @@ def test_urls_and_flags(spark):
 
 
 def test_tiers_and_designs(spark):
-    rows = spark.createDataFrame([("guideline", "critical"), ("cohort", "high"), ("opinion", "high"), ("cohort", "low"), ("?", "unclear")], "d string, r string")
+    rows = spark.createDataFrame([("clinical_guideline", "critical"), ("cohort", "high"), ("expert_opinion", "high"), ("cohort", "low"), ("other", "unclear")], "d string, r string")
     assert [r[0] for r in rows.select(N.evidence_tier(F.col("d"), F.col("r"))).collect()] == ["U", "T4", "T5", "T3", "T5"]
     assert one(spark, N.design_bucket, "A Systematic Review and meta-analysis") == "meta_analysis"
     assert one(spark, N.design_bucket, "skin") == "primary_or_other"

@@ -10,7 +10,7 @@ RULES = "group_id string, title string, abstract string, types array<string>, de
 
 
 def propose(spark, **row):
-    base = {"group_id": "g", "title": "Skin care", "abstract": "skin", "types": None, "design": "cohort", "nct_id": None, "retracted": None, "negative_control": None, "compiled": None, "satisfied": None}
+    base = {"group_id": "g", "title": "Skin care", "abstract": "skin", "types": None, "design": "cohort_or_longitudinal", "nct_id": None, "retracted": None, "negative_control": None, "compiled": None, "satisfied": None}
     cells = tuple((base | row)[c.split()[0]] for c in RULES.split(", "))
     return screening.propose_eligibility(spark.createDataFrame([cells], RULES), r"\bskin\b").first()
 
@@ -28,7 +28,8 @@ def test_rules_in_order(spark):
         (dict(title=None, abstract=None), "auto_exclude", ["EX_NO_DOMAIN_ANCHOR"], 90),
         (dict(satisfied=True), "auto_include", ["IN_QUERY_CONCEPTS_SATISFIED"], 40),
         (dict(satisfied=True, design="guideline"), "auto_include", ["IN_QUERY_CONCEPTS_SATISFIED"], 10),
-        (dict(design="protocol", abstract=" "), "manual_review", ["MR_INCOMPLETE_OR_AMBIGUOUS_CONCEPT_MATCH", "MR_ABSTRACT_UNAVAILABLE", "MR_PROTOCOL_OR_REGISTRY_ROLE"], 5),
+        (dict(design="protocol", abstract=None), "manual_review", ["MR_INCOMPLETE_OR_AMBIGUOUS_CONCEPT_MATCH", "MR_ABSTRACT_UNAVAILABLE", "MR_PROTOCOL_OR_REGISTRY_ROLE"], 5),
+        (dict(design="protocol", abstract=" "), "manual_review", ["MR_INCOMPLETE_OR_AMBIGUOUS_CONCEPT_MATCH", "MR_PROTOCOL_OR_REGISTRY_ROLE"], 5),
     ]
     for row, status, reasons, priority in cases:
         got = propose(spark, **row)
