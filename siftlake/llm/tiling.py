@@ -14,6 +14,8 @@ from siftlake.functions.words import codes
 
 #: Passages are sent to the tasks in blocks of at most so many words; more passages, more passes.
 BLOCK_WORDS = 4_000_000
+#: Pairs of equal windows that a task holds at once.
+PIECE = 1_000_000
 _BASE = np.uint64(0x5851F42D4C957F2D)
 _INVERSE = np.uint64(pow(0x5851F42D4C957F2D, -1, 1 << 64))
 
@@ -34,25 +36,15 @@ def rolling(values: np.ndarray, width: int) -> np.ndarray:
         return (sums[width:] - sums[: n - width + 1]) * powers[: n - width + 1]
 
 
-def tile(text: np.ndarray, passage: np.ndarray, at_text: np.ndarray, at_passage: np.ndarray, width: int) -> list[tuple[int, int, int]]:
-    """Greedy string tiling from seeds: ``(length, place in text, place in passage)`` of each tile.
+def tile(text_words: int, passage_words: int, runs: list[tuple[int, int, int]], width: int) -> list[tuple[int, int, int]]:
+    """Greedy string tiling from the maximal matches ``(length, place in text, place in passage)``: the tiles, in the same form.
 
-    The seeds are the places of equal windows of ``width`` words.  They are verified, joined along diagonals to
-    maximal matches, and the longest match without marked words is marked again and again (of equal
-    ones the first in the text); a match with marked words goes back with its longest unmarked parts.
+    The longest match without marked words is marked again and again (of equal ones the first in the text); a match with marked words goes back
+    with its longest unmarked parts, as long as these have ``width`` words.
     """
-    window = np.arange(width)
-    same = (text[at_text[:, None] + window] == passage[at_passage[:, None] + window]).all(axis=1)
-    at_text, at_passage = at_text[same], at_passage[same]
-    if not len(at_text):
-        return []
-    order = np.lexsort((at_text, at_text - at_passage))
-    at_text, at_passage = at_text[order], at_passage[order]
-    new = np.flatnonzero(np.concatenate([[True], (np.diff(at_text) != 1) | (np.diff(at_text - at_passage) != 0)]))
-    runs = np.diff(np.append(new, len(at_text)))
-    heap = [(-int(r) - width + 1, int(at_text[i]), int(at_passage[i])) for i, r in zip(new, runs)]
+    heap = [(-length, a, b) for length, a, b in runs]
     heapq.heapify(heap)
-    in_text, in_passage, tiles = np.zeros(len(text), bool), np.zeros(len(passage), bool), []
+    in_text, in_passage, tiles = np.zeros(text_words, bool), np.zeros(passage_words, bool), []
     while heap:
         length, a, b = heapq.heappop(heap)
         length = -length
@@ -68,11 +60,25 @@ def tile(text: np.ndarray, passage: np.ndarray, at_text: np.ndarray, at_passage:
     return tiles
 
 
+def diagonals(rows: np.ndarray) -> np.ndarray:
+    """Rows ``(text, item, diagonal, place in text, starts)`` sorted, and those that continue one another on a diagonal joined."""
+    if not len(rows):
+        return rows
+    rows = rows[np.lexsort((rows[:, 3], rows[:, 2], rows[:, 1], rows[:, 0]))]
+    apart = (rows[1:, :3] != rows[:-1, :3]).any(axis=1) | (rows[1:, 3] != rows[:-1, 3] + rows[:-1, 4])
+    new = np.flatnonzero(np.concatenate([[True], apart]))
+    joined = rows[new]
+    joined[:, 4] = np.add.reduceat(rows[:, 4], new)
+    return joined
+
+
 class Passages:
     """The seeds of a block of passages: sorted window hashes and where they stand."""
 
     def __init__(self, items: list[tuple[int, np.ndarray]], width: int) -> None:
         self.items = [(key, value) for key, value in items if len(value)]
+        self.flat = np.concatenate([v for _, v in self.items]) if self.items else np.empty(0, dtype=np.int64)
+        self.start = np.concatenate([[0], np.cumsum([len(v) for _, v in self.items])]).astype(np.int64)
         self.seeds: dict[int, tuple[np.ndarray, np.ndarray, np.ndarray]] = {}
         for size in {min(width, len(value)) for _, value in self.items}:
             own = [(i, rolling(v, size)) for i, (_, v) in enumerate(self.items) if min(width, len(v)) == size]
@@ -96,17 +102,26 @@ class Passages:
             inside = hit + size <= start[text + 1]
             hit, text = hit[inside], text[inside]
             low, high = low[hit], np.searchsorted(hashes, found[hit], "right")
-            times = high - low
-            at = np.repeat(low - np.concatenate([[0], np.cumsum(times)[:-1]]), times) + np.arange(times.sum())
-            text, hit = np.repeat(text, times), np.repeat(hit, times)
-            order = np.lexsort((which[at], text))
-            text, hit, at = text[order], hit[order], at[order]
-            pairs = np.flatnonzero(np.concatenate([[True], (np.diff(text) != 0) | (np.diff(which[at]) != 0)])) if len(text) else []
-            for a, b in zip(pairs, [*pairs[1:], len(text)]):
-                t, item = int(text[a]), int(which[at[a]])
-                tiles = tile(texts[t], self.items[item][1], hit[a:b] - start[t], places[at[a:b]], size)
-                if tiles:
-                    yield t, item, tiles
+            ends = np.cumsum(high - low)
+            runs, a = [], 0
+            while a < len(hit):  # texts of few words over and over have seeds beyond number: they are joined piece by piece
+                b = max(int(np.searchsorted(ends, (ends[a - 1] if a else 0) + PIECE, "right")), a + 1)
+                times = high[a:b] - low[a:b]
+                at = np.repeat(low[a:b] - (np.cumsum(times) - times), times) + np.arange(times.sum())
+                place, own = np.repeat(hit[a:b], times), np.repeat(text[a:b], times)
+                same = np.ones(len(at), dtype=bool)
+                for k in range(size):
+                    same &= flat[place + k] == self.flat[self.start[which[at]] + places[at] + k]
+                place, own, at = place[same], own[same], at[same]
+                local = place - start[own]
+                runs.append(diagonals(np.column_stack([own, which[at], local - places[at], local, np.ones(len(at), dtype=np.int64)])))
+                a = b
+            whole = diagonals(np.concatenate(runs)) if runs else np.empty((0, 5), dtype=np.int64)
+            pairs = np.flatnonzero(np.concatenate([[True], (whole[1:, :2] != whole[:-1, :2]).any(axis=1)])) if len(whole) else []
+            for a, b in zip(pairs, [*pairs[1:], len(whole)]):
+                t, item = int(whole[a, 0]), int(whole[a, 1])
+                own = [(int(n) + size - 1, int(x), int(x - d)) for _, _, d, x, n in whole[a:b]]
+                yield t, item, tile(len(texts[t]), len(self.items[item][1]), own, size)
 
 
 def leaked_passages(

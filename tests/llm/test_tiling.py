@@ -71,3 +71,14 @@ def test_cases(spark):
     assert {(r.doc_id, r.item_id) for r in blocks.collect()} == set(got)
     assert tiling.leaked_passages(docs.limit(0), "doc_id", "text", items, "item_id", "passage").count() == 0
     assert tiling.leaked_passages(docs, "doc_id", "text", items.limit(0), "item_id", "passage").count() == 0
+
+
+def test_one_word_over_and_over(monkeypatch):
+    """Texts and passages of one word have windows that are all equal; pieces of any size join to the same tiles."""
+    text, passage = np.full(3000, 5, dtype=np.int64), np.full(400, 5, dtype=np.int64)
+    mixed = np.concatenate([text[:50], np.arange(10), text[:80]])
+    tiles = lambda: [(t, i, sorted(x)) for t, i, x in tiling.Passages([(1, passage), (2, mixed)], 6).leaks([text, mixed[5:], np.empty(0, dtype=np.int64)])]
+    whole = tiles()
+    assert sum(n for n, _, _ in next(x for t, i, x in whole if (t, i) == (0, 0))) == 400
+    monkeypatch.setattr(tiling, "PIECE", 1000)
+    assert tiles() == whole
