@@ -69,11 +69,11 @@ def boruvka_components(pairs: DataFrame, left: str, right: str) -> DataFrame:
         pairs.filter(a.isNotNull() & b.isNotNull() & (a != b)).select(F.least(a, b).alias("a"), F.greatest(a, b).alias("b")).distinct(),
         "edges",
     )
-    rounds: list[DataFrame] = []
+    rounds: list[tuple[DataFrame, int]] = []
     left_over = edges.count()
     while left_over:
         roots = _collapse(stage(_hook(edges), "hooks"), 2 * left_over)
-        rounds.append(roots)
+        rounds.append((roots, 2 * left_over))
         to_a = roots.select(F.col("node").alias("a"), F.col("parent").alias("root_a"))
         to_b = roots.select(F.col("node").alias("b"), F.col("parent").alias("root_b"))
         renamed = salted_join(salted_join(edges, to_a, "a", "inner", left_over), to_b, "b", "inner", left_over)
@@ -90,10 +90,11 @@ def boruvka_components(pairs: DataFrame, left: str, right: str) -> DataFrame:
         return spark.createDataFrame([], "node string, component string").select(
             F.col("node").cast(kind), F.col("component").cast(kind)
         )
-    found = rounds.pop()
+    found, most = rounds.pop()
     while rounds:  # compose the rounds backwards: the later, smaller maps first
         above = found.select(F.col("node").alias("parent"), F.col("parent").alias("root"))
-        found = salted_join(rounds.pop(), above, "parent").select("node", F.coalesce("root", "parent").alias("parent"))
+        (earlier, most) = rounds.pop()
+        found = salted_join(earlier, above, "parent", count=most).select("node", F.coalesce("root", "parent").alias("parent"))
     found = stage(found, "components")
     smallest = found.groupBy("parent").agg(F.min(F.least("node", "parent")).alias("component"))
-    return salted_join(found, smallest, "parent", "inner").select("node", "component")
+    return salted_join(found, smallest, "parent", "inner", most).select("node", "component")
