@@ -31,7 +31,7 @@ from pyspark.sql import functions as F
 
 from siftlake.functions.words import mix
 from siftlake.llm.boruvka import boruvka_components
-from siftlake.session import stage
+from siftlake.session import drop_stage, stage
 
 TREES = 8
 DEPTH = 7
@@ -180,7 +180,7 @@ def classes(sets: DataFrame) -> tuple[DataFrame, DataFrame]:
 
 
 def nearness(reps: DataFrame, trees: int = TREES) -> DataFrame:
-    """Regions: ``(pivot, cid)`` for every class and pivot that agree in an informative part."""
+    """Regions: ``(pivot, cid)`` for every class and pivot that agree in an informative part; a final table."""
     spark = reps.sparkSession
     total = reps.count()
     often = max(2, total // RARE)
@@ -206,12 +206,14 @@ def nearness(reps: DataFrame, trees: int = TREES) -> DataFrame:
 
     keys = stage(reps.select("cid", "words").mapInArrow(run, "key bigint, cid bigint"), "keys")
     pivots = keys.groupBy("key").agg(F.min("cid").alias("pivot"), F.max("cid").alias("last")).filter("pivot < last")
-    return keys.join(pivots, "key").filter("cid <> pivot").select("pivot", "cid").distinct()
+    near = stage(keys.join(pivots, "key").filter("cid <> pivot").select("pivot", "cid").distinct(), "near")
+    drop_stage(keys)
+    return near
 
 
 def join_within(reps: DataFrame, threshold: float, trees: int = TREES) -> DataFrame:
-    """Pairs of classes with a Jaccard similarity of at least ``threshold``: ``(a, b, similarity)``, a < b."""
-    near = stage(nearness(reps, trees), "near")
+    """Pairs of classes with a Jaccard similarity of at least ``threshold``: ``(a, b, similarity)``, a < b; a final table."""
+    near = nearness(reps, trees)
     sizes = near.groupBy("pivot").count().select("pivot", F.ceil((F.col("count") + 1) / BLOCK).cast("int").alias("blocks"))
     rows = near.unionByName(near.select("pivot", F.col("pivot").alias("cid")).distinct()).join(sizes, "pivot")
     other = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other")
@@ -256,7 +258,10 @@ def join_within(reps: DataFrame, threshold: float, trees: int = TREES) -> DataFr
         kinds = (pa.int64(), pa.int64(), pa.float64())
         return pa.RecordBatch.from_arrays([pa.array([r[k] for r in rows], kind) for k, kind in enumerate(kinds)], names=["a", "b", "similarity"])
 
-    return placed.mapInArrow(run, "a bigint, b bigint, similarity double").groupBy("a", "b").agg(F.max("similarity").alias("similarity"))
+    found = placed.mapInArrow(run, "a bigint, b bigint, similarity double").groupBy("a", "b").agg(F.max("similarity").alias("similarity"))
+    links = stage(found, "links")
+    drop_stage(near)
+    return links
 
 
 def expand(pairs: DataFrame, members: DataFrame) -> DataFrame:

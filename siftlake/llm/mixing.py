@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 
 from siftlake.functions.words import codes, mix
 from siftlake.llm import tokens
-from siftlake.session import bounded, stage
+from siftlake.session import bounded, drop_stage, stage
 
 #: Labelled documents that the classifier is fitted on, about at most (those with the smallest hashes of their keys); its hashed features.
 FIT_DOCUMENTS, FEATURES = 20_000, 1 << 13
@@ -208,6 +208,7 @@ def fit_rates(members: DataFrame, names: list[str], mixes: list[Mix], iterations
         for own, t, m in zip(moves, total[2:], mixes):
             own.append(np.where(base > 0, (t - m.target) / np.maximum(base, 1.0), 0.0))
         total = _totals(vectors, mixes, moves, count)
+    drop_stage(vectors)
     for m, t in zip(mixes, total[2:]):
         m.expected = t
     return moves

@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from siftlake.functions.words import codes
 from siftlake.llm import jaccard
-from siftlake.session import stage, table
+from siftlake.session import drop_stage, stage, table
 
 #: The limit that TESTDATA.md sets for these pairs.
 THRESHOLD = 0.7
@@ -50,7 +50,10 @@ def near_duplicates(spark: SparkSession, folder: str) -> tuple[DataFrame, DataFr
     """Linked classes ``(a, b, similarity)`` and their members ``(cid, id)``, both staged."""
     sets = stage(record_sets(table(spark, folder, "source_records")), "sets")
     reps, members = jaccard.classes(sets)
-    return stage(jaccard.join_within(reps, THRESHOLD), "links"), members
+    drop_stage(sets)
+    links = jaccard.join_within(reps, THRESHOLD)
+    drop_stage(reps)
+    return links, members
 
 
 def p1_found(spark: SparkSession, folder: str) -> DataFrame:

@@ -12,6 +12,8 @@ import numpy as np
 
 #: Where the vocabularies of public tokenizers lie unless a caller names another file.
 DEFAULT_VOCABULARY = "byte_bpe_50k.tiktoken"
+#: Fixed value: the published pattern by which texts are cut into words before byte-level BPE.
+PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
 #: Runs of white space beyond this length are encoded in parts; the pattern's engine fails on them.
 SPACE_RUN = 20_000
 _LONG_SPACE = re.compile(r"\s{%d}" % SPACE_RUN)
@@ -28,13 +30,12 @@ def vocabulary_path(name: str = DEFAULT_VOCABULARY) -> str:
 
 @cache
 def encoder(path: str):
-    """The tokenizer of a rank file, once a process."""
-    import public_tokenizers
+    """The tokenizer of a rank file, once a process; it needs nothing but the file."""
     import tiktoken
 
     with open(path, "rb") as file:
         ranks = {base64.b64decode(word): int(rank) for word, rank in map(bytes.split, file)}
-    return tiktoken.Encoding(os.path.basename(path), pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
+    return tiktoken.Encoding(os.path.basename(path), pat_str=PATTERN, mergeable_ranks=ranks, special_tokens={})
 
 
 @cache
