@@ -12,10 +12,11 @@ import sys
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from siftlake.operators import funnel, ledger, screening
+from siftlake.operators import contracts, funnel, ledger, screening
 from siftlake.plans import campaign, dedup_queries, ledger_queries, registry, screening_queries
 from siftlake.session import local_session
 from siftlake.sources import captured, files, sinks
+from siftlake.streaming import ingest
 
 
 def _put(df: DataFrame, out: str | None) -> None:
@@ -57,10 +58,76 @@ def import_responses(args, spark: SparkSession) -> int:
     return 0
 
 
+#: What a screening run leaves behind, by the query that makes it.
+ARTEFACTS = (
+    "scan_join_canonical", "golden_record", "term_match_concepts", "study_mentions", "eligibility_rules", "screening_rows", "fuzzy_pairs", "exclusion_sample", "abstract_queue", "fulltext_routes",
+    "negative_controls", "prisma_counts",
+)
+
+
 def screen(args, spark: SparkSession) -> int:
-    """Groups, proposals, pairs, sample and counts of a ledger's folder."""
-    for name in ("golden_record", "eligibility_rules", "fuzzy_pairs", "exclusion_sample", "prisma_counts"):
+    """All artefacts of a ledger's folder, and a receipt (file, bytes, hash) of each."""
+    receipts = None
+    for name in ARTEFACTS:
         _put(registry.QUERIES[name](spark, args.tables), args.out and f"{args.out}/{name}")
+        if args.out:
+            own = sinks.receipt(spark, f"{args.out}/{name}").withColumn("artefact", F.lit(name))
+            receipts = own if receipts is None else receipts.unionByName(own)
+    if receipts is not None:
+        sinks.write_jsonl(receipts, f"{args.out}/receipts")
+    return 0
+
+
+def source(args, spark: SparkSession) -> int:
+    """One source record by its id."""
+    found = ledger.lookup(spark.read.parquet(f"{args.tables}/source_records.parquet"), "id", args.id)
+    _put(found, args.out)
+    return 0 if found.count() else 1
+
+
+def sources(args, spark: SparkSession) -> int:
+    """The latest sources."""
+    _put(registry.QUERIES["source_list_topn"](spark, args.tables), args.out)
+    return 0
+
+
+def status(args, spark: SparkSession) -> int:
+    """Rows of each ledger table."""
+    _put(registry.QUERIES["ledger_counts"](spark, args.tables), args.out)
+    return 0
+
+
+def ledger_audit(args, spark: SparkSession) -> int:
+    """All checks of all ledger tables; fails if one does."""
+    report = registry.QUERIES["ledger_audit"](spark, args.tables)
+    _put(report, args.out)
+    return 1 if report.filter("failures > 0").limit(1).count() else 0
+
+
+def take_in(args, spark: SparkSession) -> int:
+    """New response files of a folder into a ledger, under a budget of records."""
+    print(ingest.ingest(spark, args.path, args.ledger, args.most_records))
+    return 0
+
+
+def check_documents(args, spark: SparkSession) -> int:
+    """Documents, one JSON object a line, that break the contract of appraisals or extractions."""
+    contract = {"appraisal": contracts.appraisal_contract, "extraction": contracts.extraction_contract}[args.contract](args.version)
+    bad = spark.read.text(args.path).select("value", contract.breaches(F.col("value")).alias("breaches")).filter(F.size("breaches") > 0)
+    _put(bad, args.out)
+    return 1 if bad.limit(1).count() else 0
+
+
+def refused(args, spark: SparkSession) -> int:
+    """XML files that no reader takes, with the reason."""
+    bad = files.refused_documents(spark, args.path, args.root)
+    _put(bad, args.out)
+    return 1 if bad.limit(1).count() else 0
+
+
+def import_documents(args, spark: SparkSession) -> int:
+    """Local files with their size and SHA-256."""
+    _put(files.read_documents(spark, args.path), args.out)
     return 0
 
 
@@ -146,6 +213,14 @@ def parser() -> argparse.ArgumentParser:
     add("merge-abstracts", merge_abstracts, tables, need("--path"))
     add("state", state, tables)
     add("duplicate-decisions", decisions, tables)
+    add("source", source, tables, need("--id"))
+    add("sources", sources, tables)
+    add("status", status, tables)
+    add("ledger-audit", ledger_audit, tables)
+    add("ingest", take_in, need("--path"), need("--ledger"), (("--most-records",), {"type": int}))
+    add("check-documents", check_documents, need("--path"), need("--version"), (("--contract",), {"choices": ("appraisal", "extraction"), "required": True}))
+    add("refused-documents", refused, need("--path"), (("--root",), {}))
+    add("import-document", import_documents, need("--path"))
     return top
 
 

@@ -62,6 +62,17 @@ def enrich(groups: DataFrame, retrieved: DataFrame) -> DataFrame:
     return found.select("pmid", F.when(F.col("holders") == 1, F.col("group_id")).alias("group_id"), outcome.alias("outcome"))
 
 
+def apply_enrichments(groups: DataFrame, retrieved: DataFrame) -> DataFrame:
+    """``groups`` with the abstracts that ``enrich`` applies, and ``abstract_enriched``; features and proposals must be made anew from them.
+
+    Of a pmid that was retrieved twice the smallest abstract counts.
+    """
+    once = retrieved.groupBy("pmid").agg(F.min("abstract").alias("abstract"))
+    applied = enrich(groups, once).filter("outcome = 'applied'").select("pmid", "group_id").join(once, "pmid").select("group_id", F.col("abstract").alias("_new"))
+    joined = groups.join(applied, "group_id", "left")
+    return joined.withColumn("abstract_enriched", F.col("_new").isNotNull()).withColumn("abstract", F.coalesce("_new", "abstract")).drop("_new")
+
+
 def full_text_routes(groups: DataFrame) -> DataFrame:
     """Routes to a group's full text, one per type and address (the last given wins), by priority."""
     doi_url = F.concat(F.lit("https://doi.org/"), F.col("doi"))

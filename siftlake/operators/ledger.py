@@ -62,6 +62,11 @@ def conflicting(existing: DataFrame, batch: DataFrame, keys: list[str], value: s
     return batch.join(existing.select(*keys, F.col(value).alias("_recorded")), keys).filter(~F.col(value).eqNullSafe(F.col("_recorded")))
 
 
+def lookup(rows: DataFrame, key: str, value: object) -> DataFrame:
+    """The row of one key; rows delivered twice count once, an unknown or null key has none."""
+    return rows.filter(F.col(key) == F.lit(value)).dropDuplicates([key])
+
+
 def append_referenced(existing: DataFrame, batch: DataFrame, referred: DataFrame, key: str, target: str, own: str = "id") -> tuple[DataFrame, DataFrame]:
     """The rows of a batch to append, and those refused as what they refer to doesn't exist.
 

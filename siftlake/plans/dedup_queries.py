@@ -241,7 +241,14 @@ def decision_report(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
-@query()
+#: An identity key without case, percent-encoding, label, resolver address, padding and closing punctuation.
+SQL_IDENTITY = """lower(regexp_extract(trim({0}), '^([A-Za-z_]+):', 1)) || ':' || regexp_replace(regexp_replace(regexp_replace(regexp_replace(lower(trim(replace(replace(regexp_replace(trim({0}), '^[A-Za-z_]+:', ''), '%2F', '/'), '%2f', '/'))),
+        '^(\\s|(doi|pmid|pubmed)\\s*:|https?://[^/\\s]+/)+', ''), '^nct([0-9])', '\\1'), '[\\s.,;:]+$', ''), '^0+([0-9]+)$', '\\1')"""
+
+
+@query(f"""
+    WITH shared AS (SELECT {SQL_IDENTITY.format('identity_key')} AS i FROM shared_identifiers)
+    SELECT DISTINCT id, {SQL_IDENTITY.format('identity_key')} AS identity, {SQL_IDENTITY.format('identity_key')} IN (SELECT i FROM shared) AS is_shared FROM source_records""")
 def identity_forms(spark: SparkSession, folder: str) -> DataFrame:
     """Identity keys in the one form that their ways of writing share; shared identifiers marked."""
     shared = table(spark, folder, "shared_identifiers").select(identity_form(F.col("identity_key")).alias("identity")).distinct().withColumn("is_shared", F.lit(True))
@@ -253,3 +260,13 @@ def identity_forms(spark: SparkSession, folder: str) -> DataFrame:
 def provider_counts(spark: SparkSession, folder: str) -> DataFrame:
     rows = table(spark, folder, "acquisitions").distinct()
     return rows.groupBy(provider_key(F.col("provider")).alias("provider")).agg(F.count_distinct("id").alias("acquisitions"), F.sum("source_count").alias("sources"))
+
+
+@query("""
+    SELECT campaign_id, pair_sha256, list_sort(list_distinct(list(regexp_replace(lower(trim(decision)), '[^a-z]+', '_', 'g')))) AS words FROM duplicate_decisions
+    GROUP BY 1, 2 HAVING count(DISTINCT regexp_replace(lower(trim(decision)), '[^a-z]+', '_', 'g')) > 1""")
+def decision_conflicts(spark: SparkSession, folder: str) -> DataFrame:
+    """Pairs that one campaign decided in two ways, which a ledger of immutable decisions must refuse."""
+    word = F.regexp_replace(F.lower(F.trim("decision")), "[^a-z]+", "_")
+    found = table(spark, folder, "duplicate_decisions").groupBy("campaign_id", "pair_sha256").agg(F.array_sort(F.collect_set(word)).alias("words"))
+    return found.filter(F.size("words") > 1)

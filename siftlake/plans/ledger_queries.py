@@ -267,7 +267,17 @@ def stream_dedup_append(spark: SparkSession, folder: str) -> DataFrame:
     return ledger_rows.agg(F.count("*").alias("events"), F.count_distinct("event_id").alias("distinct_events"))
 
 
-@query()
+@query(f"""
+    WITH RECURSIVE e AS (SELECT event_id, user_id AS group_id, {SQL_STATE} AS to_state, {SQL_ACTOR} AS actor_kind, row_number() OVER (PARTITION BY user_id ORDER BY event_id) AS k FROM events),
+    run AS (
+        SELECT group_id, event_id, k, '' AS from_state, to_state, CASE WHEN actor_kind = 'deterministic' AND to_state = 'discovered' THEN 'accepted' ELSE 'rejected' END AS outcome,
+            CASE WHEN actor_kind = 'deterministic' AND to_state = 'discovered' THEN to_state ELSE '' END AS current FROM e WHERE k = 1
+        UNION ALL
+        SELECT e.group_id, e.event_id, e.k, run.current, e.to_state, CASE WHEN ok THEN 'accepted' ELSE 'rejected' END, CASE WHEN ok THEN e.to_state ELSE run.current END
+        FROM run JOIN e ON e.group_id = run.group_id AND e.k = run.k + 1, LATERAL (SELECT
+            (e.actor_kind = 'deterministic' AND (run.current, e.to_state) IN (('', 'discovered'), ('discovered', 'triaged'), ('triaged', 'awaiting_review')))
+            OR (e.actor_kind = 'human' AND (run.current, e.to_state) IN (('awaiting_review', 'included'), ('awaiting_review', 'excluded'))) AS ok))
+    SELECT group_id, event_id, from_state, to_state, outcome FROM run""")
 def stream_state_machine(spark: SparkSession, folder: str) -> DataFrame:
     """Review events run through the keyed state machine as a stream: accepted, replayed and rejected ones by group."""
     return state.run_state_machine(spark, f"{folder}/events.parquet")
@@ -374,3 +384,10 @@ def request_envelopes(spark: SparkSession, folder: str) -> DataFrame:
         requests.effective_query(F.col("q"), F.lit(True), F.array(F.lit("Review"), F.lit("RCT"), F.lit("Poem")), F.lit(1990), F.lit(None).cast("int")).alias("effective"),
         requests.official_address(url, "api.example", "/records/").alias("address"),
     )
+
+
+@query("SELECT * FROM (SELECT DISTINCT id, kind, title, year FROM source_records) WHERE id = (SELECT min(id) FROM source_records)")
+def source_lookup(spark: SparkSession, folder: str) -> DataFrame:
+    """One source by its id: the filter reaches the scan, so only its row groups are read."""
+    rows = table(spark, folder, "source_records")
+    return ledger.lookup(rows, "id", rows.agg(F.min("id")).first()[0]).select("id", "kind", "title", "year")

@@ -489,3 +489,31 @@ def funnel_gates(spark: SparkSession, folder: str) -> DataFrame:
     open_pairs = ledger.missing_references(table(spark, folder, "duplicate_pairs"), table(spark, folder, "duplicate_decisions"), "pair_sha256", "pair_sha256")
     resolved = bool(open_pairs.limit(1).count() == 0)
     return funnel.funnel_gates(selected, done, F.lit(resolved), rows.select("group_id").join(decided.select("group_id"), "group_id", "left_anti"), F.lit(False))
+
+
+@query(f"""{SQL_FEATURES},
+    ret AS (SELECT pmid, min(raw_json ->> '$.abstract') AS fetched FROM source_records WHERE pmid IS NOT NULL AND lower(identity_key) NOT LIKE 'pmid:%' GROUP BY pmid),
+    hold AS (SELECT pmid, count(*) AS n FROM feat WHERE pmid IS NOT NULL GROUP BY pmid),
+    en AS (SELECT group_id, title, negative_control, trim(coalesce(abstract, '')) = '' AND n = 1 AND trim(coalesce(fetched, '')) <> '' AS abstract_enriched, abstract, fetched FROM feat LEFT JOIN hold USING (pmid) LEFT JOIN ret USING (pmid)),
+    told AS (SELECT *, lower(concat_ws(' ', title, CASE WHEN abstract_enriched THEN fetched ELSE abstract END)) AS body FROM en)
+    SELECT group_id, coalesce(abstract_enriched, false) AS abstract_enriched, {sql_concepts('conditions')} AS conditions, {sql_concepts('interventions')} AS interventions, {sql_concepts('outcomes', ('function',))} AS outcomes,
+        {sql_design('body')} AS design FROM told""")
+def enriched_features(spark: SparkSession, folder: str) -> DataFrame:
+    """Features made anew after abstracts that other records of a pmid have were applied to groups without one."""
+    others = table(spark, folder, "source_records").filter("pmid is not null and lower(identity_key) not like 'pmid:%'")
+    fetched = others.groupBy("pmid").agg(F.min(F.get_json_object("raw_json", "$.abstract")).alias("abstract"))
+    groups = funnel.apply_enrichments(described_groups(spark, folder), fetched).drop("body")
+    found = screening.extract_features(groups, ONTOLOGY, "title", "abstract", excluded=CONTROL_ONLY).withColumn("design", N.design_bucket(F.concat_ws(" ", "title", "abstract")))
+    return found.select("group_id", "abstract_enriched", "conditions", "interventions", "outcomes", "design")
+
+
+@query(r"""
+    SELECT CASE WHEN regexp_matches(d, 'guideline') THEN 'guideline' WHEN regexp_matches(d, 'systematic review|meta-analysis') THEN 'systematic_review_or_meta_analysis'
+        WHEN contains(d, 'randomized controlled trial') THEN 'randomized_controlled_trial' WHEN contains(d, 'clinical trial') THEN 'clinical_trial' WHEN contains(d, 'review') THEN 'nonsystematic_review'
+        WHEN trial THEN 'trial_registry_record' ELSE 'primary_or_other' END AS design, kind, count(*) AS records FROM
+        (SELECT DISTINCT id, kind, lower(coalesce(regexp_extract(title, ':\s*([^:]*)$', 1), '')) AS d, kind = 'trial' AS trial FROM source_records) GROUP BY ALL""")
+def plain_designs(spark: SparkSession, folder: str) -> DataFrame:
+    """Records by the older buckets; what stands behind a title's last colon is taken for its publication type."""
+    rows = table(spark, folder, "source_records").select("id", "kind", "title").distinct()
+    kind = F.array_compact(F.array(F.nullif(F.regexp_extract("title", r":\s*([^:]*)$", 1), F.lit(""))))
+    return rows.groupBy(N.plain_design(kind, F.col("kind") == "trial").alias("design"), "kind").agg(F.count("*").alias("records"))
