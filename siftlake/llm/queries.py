@@ -27,21 +27,23 @@ IDENTITY = """lower(regexp_extract(trim({0}), '^([A-Za-z_]+):', 1)) || ':' || re
 LINKED = """
     both_ways AS (SELECT {a} AS a, {b} AS b FROM {t} UNION SELECT {b}, {a} FROM {t}),
     reach AS (SELECT a, b FROM both_ways UNION SELECT reach.a, e.b FROM reach JOIN both_ways e ON reach.b = e.a)"""
-ORACLES: dict[str, str] = {
-    "p1_found": f"WITH {PAIRS} SELECT id_a, id_b FROM pair",
-    "p1_groups": f"""
-        WITH RECURSIVE {PAIRS}, {LINKED.format(a='id_a', b='id_b', t='pair')}
-        SELECT id AS source_record_id, coalesce(min(reach.b), id) AS group_key, (SELECT count(*) FROM both_ways w WHERE w.a = id) AS links FROM sets LEFT JOIN reach ON reach.a = id GROUP BY id""",
-    "p2_found": f"""
+REPEATS = f"""
         WITH {PAIRS},
         bat AS (SELECT DISTINCT id AS acquisition_id, response_sha256, CAST(observed_at AS TIMESTAMPTZ) AS t FROM acquisitions),
         shared AS (SELECT {IDENTITY.format('identity_key')} AS i FROM shared_identifiers),
         led AS (SELECT id, {IDENTITY.format('identity_key')} AS i, t, response_sha256 FROM rec JOIN bat USING (acquisition_id)),
         r AS (SELECT response_sha256, min(t) AS t FROM bat GROUP BY 1), n AS (SELECT i, min(t) AS t FROM led WHERE i NOT IN (SELECT i FROM shared) GROUP BY 1),
         near AS (SELECT id_a AS x, id_b AS y FROM pair UNION ALL SELECT id_b, id_a FROM pair),
-        c AS (SELECT x, min(led.t) AS t FROM near JOIN led ON led.id = y GROUP BY x)
-        SELECT led.id AS source_record_id FROM led LEFT JOIN r USING (response_sha256) LEFT JOIN n USING (i) LEFT JOIN c ON c.x = led.id
-        WHERE r.t < led.t OR n.t < led.t OR c.t < led.t""",
+        c AS (SELECT x, min(led.t) AS t FROM near JOIN led ON led.id = y GROUP BY x)"""
+REPEAT_JOINS = "led LEFT JOIN r USING (response_sha256) LEFT JOIN n USING (i) LEFT JOIN c ON c.x = led.id"
+ORACLES: dict[str, str] = {
+    "p1_found": f"WITH {PAIRS} SELECT id_a, id_b FROM pair",
+    "p1_groups": f"""
+        WITH RECURSIVE {PAIRS}, {LINKED.format(a='id_a', b='id_b', t='pair')}
+        SELECT id AS source_record_id, coalesce(min(reach.b), id) AS group_key, (SELECT count(*) FROM both_ways w WHERE w.a = id) AS links FROM sets LEFT JOIN reach ON reach.a = id GROUP BY id""",
+    "p2_found": f"""{REPEATS} SELECT led.id AS source_record_id FROM {REPEAT_JOINS} WHERE r.t < led.t OR n.t < led.t OR c.t < led.t""",
+    "p2_reasons": f"""{REPEATS} SELECT led.id AS source_record_id, bool_or(coalesce(r.t < led.t, false)) AS by_response, bool_or(coalesce(n.t < led.t, false)) AS by_identity,
+        bool_or(coalesce(c.t < led.t, false)) AS by_content FROM {REPEAT_JOINS} GROUP BY led.id""",
     "p3_found": f"""
         WITH RECURSIVE link AS (SELECT DISTINCT left_group_id AS l, right_group_id AS r FROM duplicate_pairs WHERE pair_sha256 IN
             (SELECT pair_sha256 FROM duplicate_decisions WHERE regexp_replace(lower(decision), '[^a-z]', '', 'g') = 'samestudy')),
@@ -58,6 +60,8 @@ ORACLES: dict[str, str] = {
                 AND NOT regexp_matches(title, '(\\.\\.\\.|…)\\s*$')
             UNION ALL SELECT group_key, 'doi', id, p, t FROM val WHERE trim(doi) <> '' AND {IDENTITY.format("('doi:' || doi)")} NOT IN (SELECT i FROM shared))
         SELECT group_key, field, arg_min(id, (p, -epoch_us(t), id)) AS source_record_id FROM use GROUP BY ALL""",
+    # A subword token of such texts spells about four bytes, and no text is near the limit.
+    "p9_found": "SELECT DISTINCT doc_id FROM documents JOIN split_settings ON setting_id = 1 WHERE strlen(text) > 4 * max_tokens",
     "p7_found": f"""
         WITH d AS (SELECT doc_id, {WORDS.format('text')} AS w FROM documents WHERE text IS NOT NULL),
         i AS (SELECT item_id, {WORDS.format('passage')} AS w FROM eval_items WHERE passage IS NOT NULL),
