@@ -43,6 +43,7 @@ SPARE = 1.0
 LEAST_BITS = 0.5
 CELL = 48
 BLOCK = 2000
+TASK_BYTES = 16_000_000
 
 
 def set_signatures(flat: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -219,7 +220,10 @@ def join_within(reps: DataFrame, threshold: float, trees: int = TREES) -> DataFr
     other = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other")
     rows = rows.withColumn("block", F.pmod(F.xxhash64("cid"), F.col("blocks")).cast("int")).select("pivot", "cid", "block", other)
     rows = rows.select("pivot", "cid", "block", F.least("block", "other").alias("b1"), F.greatest("block", "other").alias("b2"))
-    placed = rows.join(reps.select("cid", "words"), "cid").repartition("pivot", "b1", "b2").sortWithinPartitions("pivot", "b1", "b2", "cid")
+    # As many tasks as the sets to place need, whatever the session's default: a task reads about TASK_BYTES, and a block more at most.
+    mean = reps.agg(F.avg(F.size("words"))).first()[0] or 0.0
+    tasks = max(int(reps.sparkSession.conf.get("spark.sql.shuffle.partitions")), math.ceil(near.count() * (8 * mean + 48) / TASK_BYTES))
+    placed = rows.join(reps.select("cid", "words"), "cid").repartition(tasks, "pivot", "b1", "b2").sortWithinPartitions("pivot", "b1", "b2", "cid")
     radius = 1.0 - threshold
 
     def regions(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[list, list, list]]:

@@ -2,8 +2,10 @@
 
 import itertools
 import json
+import math
 import random
 
+import numpy as np
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
@@ -114,3 +116,30 @@ def test_more_trees_find_no_less(spark, folder, trees):
     some = {tuple(r)[:2] for r in jaccard.join_within(reps, 0.7, trees).collect()}
     every = {tuple(r)[:2] for r in jaccard.join_within(reps, 0.7, 8).collect()}
     assert some <= every and len(some) >= 0.97 * len(every)
+
+
+def test_random_edits_share_a_region():
+    """Sets of Zipf-like words with words replaced at random meet in a part of some tree, in a table of a million sets as well."""
+    rng = np.random.default_rng(2)
+    vocabulary = np.sort(rng.integers(-(2**62), 2**62, 20_000))
+    weight = 1 / (np.arange(20_000) + 20.0)
+    weight /= weight.sum()
+    total = 1_000_000
+    count = np.minimum(total, 130 * total * weight)
+    often = total // jaccard.RARE
+    known = np.sort(vocabulary[count >= often])
+    bits = dict(zip(vocabulary.tolist(), np.maximum(np.log2(total / count), jaccard.LEAST_BITS).tolist()))
+    rarity = np.array([bits[k] for k in known.tolist()])
+    rest, least = math.log2(total / often), math.log2(total) + jaccard.SPARE
+    for similarity, share in ((0.9, 1.0), (0.8, 0.99), (0.7, 0.9)):
+        xs = [np.unique(rng.choice(vocabulary, 130, p=weight)) for _ in range(200)]
+        ys = []
+        for x in xs:
+            gone = round(len(x) * (1 - similarity) / (1 + similarity))
+            new = np.setdiff1d(rng.choice(vocabulary, 4 * gone, p=weight), x)[:gone]
+            ys.append(np.unique(np.concatenate([rng.choice(x, len(x) - gone, replace=False), new])))
+        met = set()
+        for seed in range(jaccard.TREES):
+            keys = [set(zip(*(a.tolist() for a in jaccard.part_keys(np.concatenate(s), np.repeat(np.arange(200), [len(x) for x in s]), known, rarity, rest, least, seed)[::-1]))) for s in (xs, ys)]
+            met |= {owner for owner, _ in keys[0] & keys[1]}
+        assert len(met) >= share * 200, (similarity, len(met))
