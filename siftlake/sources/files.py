@@ -47,7 +47,10 @@ def _parse(content: bytes | None) -> ET.Element | None:
 
 
 def refused_documents(spark: SparkSession, path: str, root: str | None = None) -> DataFrame:
-    """``path, reason`` of the XML files that no reader takes; ``root`` names the element they must begin with (``wrong_root`` otherwise)."""
+    """``path, reason`` of the XML files that no reader takes; ``root`` names the element they must begin with (``wrong_root`` otherwise).
+
+    Files without a byte aren't listed: Spark's scan of files skips them.
+    """
     files = spark.read.format("binaryFile").load(path).select("path", "content")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
