@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from siftlake.functions import normalise as N
 from siftlake.operators import funnel, ledger, screening
-from siftlake.session import table
+from siftlake.session import stage, table
 
 QUERIES: dict = {}
 ORACLES: dict[str, str] = {}
@@ -124,15 +124,15 @@ def described_groups(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def features(spark: SparkSession, folder: str) -> DataFrame:
-    """Groups with concepts and design by title and abstract."""
+    """Groups with concepts and design by title and abstract, staged: what follows refers to them many times, and texts are to be searched once."""
     found = screening.extract_features(described_groups(spark, folder), ONTOLOGY, "title", "abstract", excluded=CONTROL_ONLY)
-    return found.withColumn("design", N.design_bucket(F.col("body")))
+    return stage(found.withColumn("design", N.design_bucket(F.col("body"))).drop(*screening.MENTIONS), "features")
 
 
 def proposals(spark: SparkSession, folder: str) -> DataFrame:
-    feat = features(spark, folder)
-    met = screening.evaluate_queries(feat, SPECIFICATION, "body").filter(~F.col("negative_control")).groupBy("group_id").agg(F.bool_or("satisfied").alias("satisfied"))
-    return screening.propose_eligibility(feat.join(met, "group_id").withColumn("types", F.array().cast("array<string>")), ANCHOR)
+    met = F.exists(screening.evaluations(SPECIFICATION, "body"), lambda q: q["satisfied"] & ~q["negative_control"])
+    asked = features(spark, folder).withColumn("satisfied", met).withColumn("types", F.array().cast("array<string>"))
+    return stage(screening.propose_eligibility(asked, ANCHOR), "proposals")
 
 
 @query(f"{SQL_FEATURES} SELECT group_id, conditions, interventions, outcomes, design FROM feat")
@@ -165,7 +165,7 @@ def sample_size_extract(spark: SparkSession, folder: str) -> DataFrame:
         (SELECT group_id, lower(concat_ws(' ', title, abstract)) AS body FROM dedup_groups LEFT JOIN (SELECT identity_key, min(raw_json ->> '$.abstract') AS abstract FROM source_records GROUP BY 1) ON identity_key = canonical_identity)""")
 def study_mentions(spark: SparkSession, folder: str) -> DataFrame:
     """Follow-ups, phototypes, outcome scales and funding mentions in title and abstract."""
-    rows = features(spark, folder)
+    rows = screening.extract_features(described_groups(spark, folder), ONTOLOGY, "title", "abstract")
     return rows.select(
         "group_id", F.col("follow_ups.value").alias("follow_up_values"), F.col("follow_ups.unit").alias("follow_up_units"), F.array_distinct(F.transform("phototypes", F.lower)).alias("phototypes"),
         "scales", F.size("funding").cast("bigint").alias("funding_mentions"),

@@ -112,3 +112,15 @@ def test_gates_fail_closed(spark):
     mixed = good[:1] + [(*good[1][:-1], "harmful")]
     assert funnel.appraisal_gates(spark.createDataFrame(mixed, schema), False, True).first().failed_gates == ["contradictions_resolved"]
     assert funnel.appraisal_gates(spark.createDataFrame(mixed, schema), True, True).first().ready
+
+
+def test_any_phrase_is_each_phrase(spark):
+    from siftlake.functions.normalise import phrase_pattern
+
+    terms = ["scar", "acne", "itching", "a.b", "biopsy"]
+    texts = ["scar", "two SCARS.", "scarring", "éacne", "acne", "xacne", "a\nacne", "itchings", "a.b", "axb", "a.bs!", "", "biopsys", "Biopsy", "scar_", "(scar)"]
+    rows = spark.createDataFrame([(t,) for t in texts], "t string")
+    each = [rows.t.rlike(phrase_pattern(t)) for t in terms]
+    whole = rows.t.rlike(screening.any_phrase(terms))
+    got = rows.select(whole, *each).collect()
+    assert [r[0] for r in got] == [any(r[1:]) for r in got] and 5 < sum(r[0] for r in got) < len(texts)
