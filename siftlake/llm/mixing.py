@@ -24,6 +24,8 @@ from siftlake.session import bounded, drop_stage, stage
 
 #: Labelled documents that the classifier is fitted on, about at most (those with the smallest hashes of their keys); its hashed features.
 FIT_DOCUMENTS, FEATURES = 20_000, 1 << 13
+#: Words of the whole corpus that stand in each domain's counts beforehand.
+COMMON_WORDS = 2000.0
 #: A label is wrong with this probability; memberships are kept in so many parts.
 NOISE, GRAIN = 0.02, 64
 #: More sources than this would be no table for the driver.
@@ -79,14 +81,19 @@ def fit_classifier(documents: DataFrame, key: str, text: str, label: str, names:
     table = np.zeros(len(names) * (FEATURES + 1))
     table[summed["cell"].to_numpy(dtype=np.int64)] = summed["n"].to_numpy(dtype=float)
     table = table.reshape(len(names), FEATURES + 1)
-    words = np.log(table[:, :-1] + 0.1) - np.log((table[:, :-1] + 0.1).sum(axis=1, keepdims=True))
+    whole = table[:, :-1].sum(axis=0) + 0.1
+    seen = table[:, :-1] + COMMON_WORDS * whole / whole.sum()  # small domains fall back on the words of all
+    words = np.log(seen) - np.log(seen.sum(axis=1, keepdims=True))
     prior = np.log(table[:, -1:] + 1.0) - np.log((table[:, -1:] + 1.0).sum())
     return np.hstack([words, prior])
 
 
 def posterior(model: np.ndarray, words: np.ndarray, label: int | None = None) -> np.ndarray:
-    """Domain probabilities of a text and its label, if it has one; the text's evidence is tempered by its length, as words aren't independent."""
-    score = model[:, -1].copy()
+    """Domain probabilities of a text and its label, if it has one; the text's evidence is tempered by its length, as words aren't independent.
+
+    How frequent domains are counts for texts without a label only: a small source's label would be outweighed by it.
+    """
+    score = model[:, -1].copy() if label is None else np.zeros(len(model))
     if len(words):
         cells, n = np.unique((mix(words, 9) % np.uint64(FEATURES)).astype(np.int64), return_counts=True)
         score += (model[:, cells] @ n) / np.sqrt(len(words))
@@ -150,66 +157,73 @@ def _dense(batch: pa.RecordBatch, count: int) -> tuple[np.ndarray, np.ndarray, n
 
 
 def _rates(dense: np.ndarray, home: np.ndarray, repeats: np.ndarray, share: np.ndarray, moves: list[np.ndarray]) -> np.ndarray:
-    """Rates after the moves so far: each a step against the gradient, projected to 0..repeats of the row's home."""
+    """Rates after the moves so far: each a step against the gradient, projected to 0..repeats of the row's home.
+
+    A move has two rows: what it takes from a rate by membership, and by home.
+    """
     if not dense.shape[1] or not len(dense):
         return np.zeros(len(dense))
     own, back = np.unique(np.column_stack([home, dense]), axis=0, return_inverse=True)
-    most = np.where(share > 0, repeats, 0)[own[:, 0].astype(int)]
+    at = own[:, 0].astype(int)
+    most = np.where(share > 0, repeats, 0)[at]
     rate = np.zeros(len(own))
-    for move in moves:
-        rate = np.clip(rate - own[:, 1:] @ move, 0.0, most)
+    for soft, hard in moves:
+        rate = np.clip(rate - own[:, 1:] @ soft - hard[at], 0.0, most)
     return rate[back.ravel()]
 
 
 def _totals(vectors: DataFrame, mixes: list[Mix], moves: list[list[np.ndarray]], count: int) -> np.ndarray:
-    """Expected tokens of each mix (rows from 2) by domain (columns) under the rates so far; rows 0 and 1: all tokens once, by home and as expected."""
+    """Tokens as expected by membership (0) and by home (1), of all documents once (row 0) and of each mix under the rates so far, by domain."""
     shared = vectors.sparkSession.sparkContext.broadcast(([(m.repeats, m.share) for m in mixes], moves))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         limits, moves = shared.value
-        total = np.zeros((len(limits) + 2, count))
+        total = np.zeros((2, len(limits) + 1, count))
         for batch in batches:
             dense, size, home = _dense(batch, count)
-            if count:
-                np.add.at(total[0], home, size)
-            total[1] += size @ dense
-            for i, ((repeats, share), own) in enumerate(zip(limits, moves), 2):
-                total[i] += (size * _rates(dense, home, repeats, share, own)) @ dense
+            every = [size] + [size * _rates(dense, home, repeats, share, own) for (repeats, share), own in zip(limits, moves)]
+            for i, taken in enumerate(every if count else ()):
+                total[0, i] += taken @ dense
+                np.add.at(total[1, i], home, taken)
         yield pa.RecordBatch.from_arrays([pa.array(np.arange(total.size)), pa.array(total.ravel())], names=["cell", "t"])
 
     rows = vectors.select(*MEMBER, "n_tokens").mapInArrow(run, "cell bigint, t double").groupBy("cell").agg(F.sum("t").alias("t")).toPandas()
-    total = np.zeros((len(mixes) + 2) * count)
+    total = np.zeros(2 * (len(mixes) + 1) * count)
     total[rows["cell"].to_numpy(dtype=np.int64)] = rows["t"]
-    return total.reshape(len(mixes) + 2, count)
+    return total.reshape(2, len(mixes) + 1, count)
 
 
 def fit_rates(members: DataFrame, names: list[str], mixes: list[Mix], iterations: int = ITERATIONS) -> list[list[np.ndarray]]:
     """Moves that lead from zero to the least-squares rates of each mix; sets the mixes' token targets and expected totals.
 
     A mix is as large as lets every domain that has documents reach its share within its repeats.  The gradient is scaled by the
-    domains' tokens, so domains of any size converge alike.
+    domains' tokens, so domains of any size converge alike.  Expected totals come first; then the domains' rates are shifted as wholes until the totals by label, which
+    are what is asked for, match as well.
     """
     count, vectors = len(names), by_membership(members)
     moves: list[list[np.ndarray]] = [[] for _ in mixes]
     total = _totals(vectors, mixes, moves, count)
-    held, base = total[0], total[1]
+    base, held = total[0, 0], total[1, 0]
     for m in mixes:
         m.share = np.where(held > 0, m.share, 0.0)
         m.share = m.share / m.share.sum() if m.share.sum() > 0 else m.share
         wanted = m.share > 0
         size = (m.repeats[wanted] * held[wanted] / m.share[wanted]).min() if wanted.any() else 0.0
         m.target = m.share * size
-    before = np.inf
-    for _ in range(iterations):
-        off = max((np.abs(t - m.target).sum() / max(m.target.sum(), 1.0) for t, m in zip(total[2:], mixes)), default=0.0)
-        if off <= CLOSE or off >= (1 - NO_NEARER) * before:
-            break
-        before = off
-        for own, t, m in zip(moves, total[2:], mixes):
-            own.append(np.where(base > 0, (t - m.target) / np.maximum(base, 1.0), 0.0))
-        total = _totals(vectors, mixes, moves, count)
+    for side, weight in enumerate((base, held)):
+        before = np.inf
+        for _ in range(iterations):
+            off = max((np.abs(t - m.target).sum() / max(m.target.sum(), 1.0) for t, m in zip(total[side, 1:], mixes)), default=0.0)
+            if off <= CLOSE or off >= (1 - NO_NEARER) * before:
+                break
+            before = off
+            for own, t, m in zip(moves, total[side, 1:], mixes):
+                step = np.zeros((2, count))
+                step[side] = np.where(weight > 0, (t - m.target) / np.maximum(weight, 1.0), 0.0)
+                own.append(step)
+            total = _totals(vectors, mixes, moves, count)
     drop_stage(vectors)
-    for m, t in zip(mixes, total[2:]):
+    for m, t in zip(mixes, total[0, 1:]):
         m.expected = t
     return moves
 
