@@ -143,3 +143,22 @@ def test_random_edits_share_a_region():
             keys = [set(zip(*(a.tolist() for a in jaccard.part_keys(np.concatenate(s), np.repeat(np.arange(200), [len(x) for x in s]), known, rarity, rest, least, seed)[::-1]))) for s in (xs, ys)]
             met |= {owner for owner, _ in keys[0] & keys[1]}
         assert len(met) >= share * 200, (similarity, len(met))
+
+
+def test_pairs_at_the_limit_are_not_left_out(spark, monkeypatch):
+    """Sets of a small vocabulary, whose words tell nothing, edited up to the limit itself; in one block and in many, of two widths of sketches."""
+    monkeypatch.setattr(jaccard, "BLOCK", 64)
+    rng = random.Random(8)
+    vocabulary = [f"w{i}" for i in range(60)]
+    rows = []
+    for i in range(100):
+        base = rng.sample(vocabulary, 17)
+        rows += [(f"a{i:03}", "t", raw(" ".join(base))), (f"b{i:03}", "t", raw(" ".join(base[:13] + rng.sample(sorted(set(vocabulary) - set(base)), 2))))]
+    for i in range(6):
+        base = [f"v{rng.randrange(400)}" for _ in range(170)]
+        rows += [(f"c{i}", "t", raw(" ".join(base))), (f"d{i}", "t", raw(" ".join(base[:140])))]
+    expected = brute(rows)
+    assert len(expected) >= 100
+    reps, members = jaccard.classes(stage(p1.record_sets(spark.createDataFrame(rows, RECORD)), "sets"))
+    for blocks in (1, 5):
+        assert {tuple(r) for r in jaccard.expand(jaccard.join_within(reps, 0.7, blocks), members).collect()} == expected
