@@ -123,3 +123,20 @@ def test_fused_values_have_planted_truth(spark):
             rows.append((*rows[-1][:4], "f", 0, None, f"{g}f"))
     chosen = fusion.survivors(spark.createDataFrame([(*r[:3], r[2], *r[4:]) for r in rows], CLAIMS)).collect()
     assert sum(known[r.group_key, r.field] == r.value for r in chosen) >= 0.95 * len(known) and len(chosen) == len(known)
+
+
+def test_the_fixed_order_runs_no_fusion(spark, folder, monkeypatch):
+    """No stage runs for ``p4_found`` that can't change its rows; ``p4_fused`` can't do without the votes."""
+    monkeypatch.setattr(p4, "grouped_records", lambda spark, folder: table(spark, folder, "source_records").select(F.lit("g").alias("group_key"), "id").distinct())
+    monkeypatch.setattr(fusion, "posteriors", lambda *_: pytest.fail("votes are counted"))
+    assert {r.field for r in p4.p4_found(spark, folder).collect()} == {"title", "doi"}
+    with pytest.raises(pytest.fail.Exception):
+        p4.p4_fused(spark, folder)
+
+
+def test_foremost_is_the_firm_prior(spark):
+    claims = _disputed(spark)
+    rows = [("i", "f", "v", "v", "a", None, None, "2"), ("i", "f", "w", "w", "a", None, datetime.datetime(2024, 1, 1), "3"), ("i", "f", None, "u", "a", 0, None, "1"), (None, "f", "v", "v", "a", 0, None, "0")]
+    claims = claims.unionByName(spark.createDataFrame(rows, CLAIMS))
+    firm = fusion.survivors(claims, fusion.one_voice(claims), fusion.FIRM_TRUST, fusion.FIRM_RECENCY).select("group_key", "field", "source_record_id")
+    assert {tuple(r) for r in fusion.foremost(claims).collect()} == {tuple(r) for r in firm.collect()} == {("g", "title", "9"), ("h", "doi", "6"), ("i", "f", "3")}
