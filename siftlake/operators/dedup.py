@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import math
 from difflib import SequenceMatcher
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -13,11 +15,15 @@ from siftlake.functions import normalise as N
 from siftlake.functions.records import record_fields
 from siftlake.operators.components import connected_components
 from siftlake.operators.nested import provider_key
+from siftlake.session import stage
 
 #: Providers in the order of trust; others come last.
 PREFERENCE = ("europe_pmc", "pubmed", "clinical_trials", "semantic_scholar", "openalex", "crossref", "unpaywall", "elicit", "local_file")
 LEAST_TITLE = 20
 FUZZY = 0.94
+#: A rounded ratio may lie this much below its threshold before rounding.
+SLACK = 1e-6
+PARITIES = ("p0", "p1", "p2", "p3")
 RAW = "abstract string, venue string, isOpenAccess string, doi string, pmid string, nctId string, year string"
 
 
@@ -109,41 +115,86 @@ def golden_records(records: DataFrame, components: DataFrame) -> DataFrame:
     return named.withColumn("group_id", F.sha2(own, 256)).withColumn("authors", F.coalesce("authors", F.array().cast("array<string>")))
 
 
+def common_letters(left: str, right: str) -> int:
+    """Length of the longest common subsequence, a row of bits at a time; no matching blocks hold more letters."""
+    at: dict[str, int] = {}
+    for i, c in enumerate(left):
+        at[c] = at.get(c, 0) | 1 << i
+    row = every = (1 << len(left)) - 1
+    for c in right:
+        met = row & at.get(c, 0)
+        row = (row + met | row - met) & every
+    return len(left) - row.bit_count()
+
+
 @F.pandas_udf(T.DoubleType())
-def sequence_ratio(left: pd.Series, right: pd.Series) -> pd.Series:
-    """Ratio of matching blocks, rounded as Python rounds; the order of the arguments matters."""
-    return pd.Series([round(SequenceMatcher(None, a, b, autojunk=False).ratio(), 6) for a, b in zip(left, right)])
+def sequence_ratio(left: pd.Series, right: pd.Series, least: pd.Series) -> pd.Series:
+    """Ratio of matching blocks, rounded as Python rounds; the order of the arguments matters.  Null where the letters in common show that it is under ``least``."""
+
+    def one(a: str, b: str, bound: float) -> float | None:
+        if a == b:
+            return 1.0
+        if 2 * common_letters(a, b) < (bound - SLACK) * (len(a) + len(b)):
+            return None
+        return round(SequenceMatcher(None, a, b, autojunk=False).ratio(), 6)
+
+    return pd.Series([one(*x) for x in zip(left, right, least)], dtype="float64")
 
 
-def letter_counts(text: Column) -> Column:
-    """How often each of ``a-z0-9`` and the blank stands in a normalised title."""
-    return F.transform(F.split(F.lit("abcdefghijklmnopqrstuvwxyz0123456789 "), ""), lambda c: F.length(text) - F.length(F.replace(text, c, F.lit(""))))
+@F.pandas_udf(T.StructType([T.StructField(p, T.LongType()) for p in PARITIES]))
+def bigram_parities(titles: pd.Series) -> pd.DataFrame:
+    """256 bits: which of as many classes of bigrams stand in a title an odd number of times.  A letter put in or taken out changes 3 of them at most."""
+    rows = []
+    for title in titles:
+        bits = 0
+        for x, y in zip(title, title[1:]):
+            bits ^= 1 << (31 * ord(x) + ord(y)) % 256
+        rows.append(bits.to_bytes(32, "little"))
+    return pd.DataFrame(np.frombuffer(b"".join(rows), "<i8").reshape(-1, 4), columns=[*PARITIES])
+
+
+def met_pairs(side: DataFrame, threshold: float) -> DataFrame:
+    """Pairs ``a``, ``b`` of titles that can reach the threshold and whose authors agree; ``a`` has the smaller id.
+
+    Two groups with an author meet by year and author.  One without an author meets all of its year whose lengths are near enough, by
+    classes of length: lengths up to ``longest`` times each other lie two classes apart at most.
+    """
+    longest = 2 / (threshold - SLACK) - 1
+    step = math.log(longest * 1.0001) / 2
+    own, known = F.floor(F.log(F.col("size").cast("double")) / step), F.col("author").isNotNull()
+    name, of = F.concat(F.lit("author:"), F.col("author")), lambda c: F.concat(F.lit("size:"), c.cast("string"))
+    near = F.array(*(of(own + i) for i in range(-2, 3)))
+    a = side.withColumn("key", F.explode(F.when(known, F.array(name)).otherwise(near)))
+    b = side.withColumn("key", F.explode(F.when(known, F.array(name, of(own))).otherwise(F.array(of(own)))))
+    a, b = (x.select(*(F.col(c).alias(f"{n}_{c}") for c in x.columns)) for n, x in (("a", a), ("b", b)))
+    total = F.col("a_size") + F.col("b_size")
+    apart = sum((F.bit_count(F.col(f"a_{p}").bitwiseXOR(F.col(f"b_{p}"))) for p in PARITIES), F.lit(0))
+    once = (F.col("a_group_id") < F.col("b_group_id")) | (F.col("a_author").isNull() & F.col("b_author").isNotNull())
+    met = a.join(
+        b,
+        F.col("a_year").eqNullSafe(F.col("b_year")) & (F.col("a_key") == F.col("b_key")) & (apart <= 3 * (1 - threshold + SLACK) * total)
+        & (2 * F.least("a_size", "b_size") >= (threshold - SLACK) * total) & once,
+    )
+    ends = F.array_sort(F.array(*(F.struct(F.col(f"{n}_group_id").alias("group_id"), F.col(f"{n}_title").alias("title")) for n in "ab")))
+    return met.select(F.col("a_year").alias("year"), ends.alias("ends")).select("year", F.col("ends")[0].alias("a"), F.col("ends")[1].alias("b"))
 
 
 def possible_duplicate_pairs(groups: DataFrame, threshold: float = FUZZY) -> DataFrame:
     """Pairs of groups of one year (null is a year of its own) with nearly the same title and no contradicting first author.
 
-    Before titles are compared, two bounds drop pairs that cannot reach the threshold: the shorter title's length, and the letters both
-    have in common, either of which the ratio cannot exceed.  Titles under ``LEAST_TITLE`` letters form no pairs.
+    Before titles are compared, bounds drop pairs that cannot reach the threshold: the shorter title's length, the bigrams that titles
+    don't share, and the letters both have in common in one order.  Titles under ``LEAST_TITLE`` letters form no pairs.
     """
     if not 0.8 <= threshold <= 1:
         raise ValueError("the threshold of possible duplicates must be 0.8 to 1")
     side = groups.filter(F.length("normalised_title") >= LEAST_TITLE).select(
         "group_id", "year", F.col("normalised_title").alias("title"), N.normalise_title(F.try_element_at("authors", F.lit(1))).alias("author")
     )
-    side = side.withColumn("author", F.nullif("author", F.lit(""))).withColumn("size", F.length("title")).withColumn("letters", letter_counts(F.col("title")))
-    a = side.select(*(F.col(c).alias(f"a_{c}") for c in side.columns))
-    b = side.select(*(F.col(c).alias(f"b_{c}") for c in side.columns))
-    total = F.col("a_size") + F.col("b_size")
-    agree = F.col("a_author").isNull() | F.col("b_author").isNull() | (F.col("a_author") == F.col("b_author"))
-    met = a.join(
-        b,
-        F.col("a_year").eqNullSafe(F.col("b_year")) & (F.col("a_group_id") < F.col("b_group_id")) & (2 * F.least("a_size", "b_size") >= (threshold - 1e-6) * total) & agree,
-    )
-    shared = F.aggregate(F.zip_with("a_letters", "b_letters", lambda x, y: F.least(x, y)), F.lit(0), lambda s, x: s + x)
-    close = met.filter(2 * shared >= (threshold - 1e-6) * total).withColumn("title_similarity", sequence_ratio("a_title", "b_title"))
+    side = side.withColumn("author", F.nullif("author", F.lit(""))).withColumn("size", F.length("title")).withColumn("parities", bigram_parities("title"))
+    met = met_pairs(stage(side.select("*", "parities.*").drop("parities"), "titles"), threshold)
+    close = met.withColumn("title_similarity", sequence_ratio("a.title", "b.title", F.lit(threshold)))
     return close.filter(F.col("title_similarity") >= threshold).select(
-        F.col("a_group_id").alias("left_group_id"), F.col("b_group_id").alias("right_group_id"), F.col("a_year").alias("year"), "title_similarity",
+        F.col("a.group_id").alias("left_group_id"), F.col("b.group_id").alias("right_group_id"), "year", "title_similarity",
         F.lit(True).alias("first_author_compatible"), F.lit("manual_review_required").alias("disposition"), F.lit(False).alias("auto_merged"),
     )
 

@@ -61,6 +61,43 @@ def test_fuzzy_pairs_against_all_pairs(spark):
     assert dedup.possible_duplicate_pairs(spark.createDataFrame([], GROUPS)).count() == 0
 
 
+@pytest.mark.parametrize("threshold", [0.8, 0.94, 1])
+def test_fuzzy_pairs_whole_at_the_bounds(spark, threshold):
+    """Titles of few to many letters, cut, lengthened and changed up to the limit and beyond, against all pairs."""
+    rng = random.Random(10)
+    rows = []
+    for n in (20, 31, 97, 400):
+        base = "".join(rng.choice("abcdefgh ") for _ in range(n))
+        for i in range(24):
+            t = list(base)
+            for _ in range(round(n * rng.choice([0, 0.03, 0.06, 0.12, 0.2]))):
+                at = rng.randrange(len(t))
+                t[at : at + rng.randrange(2)] = rng.choice(["", "a", "é", "𝔸"])
+            t = "".join(t) if i % 3 else base[: len(base) - i // 2] + base[: i % 5]
+            rows.append((f"g{rng.random()}", t, rng.choice([2001, None]), rng.choice([[], ["A B"], ["a  b"], ["C D"]])))
+    expected = {}
+    for a, b in itertools.combinations(sorted(rows), 2):
+        first = [r[3][0].lower().split() if r[3] else None for r in (a, b)]
+        if a[2] == b[2] and min(len(a[1]), len(b[1])) >= 20 and (None in first or first[0] == first[1]):
+            if (ratio := round(SequenceMatcher(None, a[1], b[1], autojunk=False).ratio(), 6)) >= threshold:
+                expected[a[0], b[0]] = ratio
+    got = dedup.possible_duplicate_pairs(spark.createDataFrame(rows, GROUPS), threshold).collect()
+    assert {(r.left_group_id, r.right_group_id): r.title_similarity for r in got} == expected and len(got) == len(expected) > 5
+
+
+def test_fuzzy_pairs_meet_by_author_or_length(spark):
+    """The pairs of a year aren't all met: the join has a key besides the year, and few titles are compared letter by letter."""
+    rng = random.Random(11)
+    word = lambda: "".join(rng.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(8))
+    rows = [(f"g{i:04}", f"effect of {word()} on {word()} in dancers a cohort study", 2001, [word()] if i % 2 else []) for i in range(1500)]
+    rows.append(("h", rows[7][1] + "s", 2001, rows[7][3]))
+    pairs = dedup.possible_duplicate_pairs(spark.createDataFrame(rows, GROUPS))
+    assert [(r.left_group_id, r.right_group_id) for r in pairs.collect()] == [("g0007", "h")]
+    plan = pairs._jdf.queryExecution().executedPlan().toString()
+    joins = [line for line in plan.splitlines() if "Join [" in line or "Join(" in line]
+    assert joins and all("key" in line for line in joins)
+
+
 def test_records_chain_through_different_identifiers(spark):
     schema = "source_record_id string, doi string, pmid string, pmcid string, nct_id string, normalised_title string, year int, component string"
     rows = [("a", "10.1234/x", None, None, None, "t", 1, "?"), ("b", "10.1234/X", "7", None, None, "t", 1, "?"), ("c", None, "7", None, "NCT1", "u", 2, "?"), ("d", None, None, None, None, "a title that is long enough", None, "?"), ("e", None, None, None, None, "a title that is long enough", None, "?"), ("f", None, None, None, None, None, None, "?")]
